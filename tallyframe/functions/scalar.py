@@ -81,7 +81,7 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
 def parse_date_any(c: str | Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """First layout that parses wins; unparseable text gives null, not an error."""
     c = as_col(c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
 
 
 def year_month(d: str | Column, months_back: int = 0) -> Column:

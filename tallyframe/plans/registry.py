@@ -52,7 +52,7 @@ def q_parse_dates(spark, d):
 
 def q_restrict_to_spine(spark, d):
     st = fx.statements_closing(spark, d)
-    st = st.select(PARTY, F.try_to_date("close_date", F.lit("dd.MM.yyyy")).alias("data_date"), FLAG,
+    st = st.select(PARTY, F.try_to_date("close_date", "dd.MM.yyyy").alias("data_date"), FLAG,
                    *ACCOUNT_CODES)
     return spine.restrict_to_spine(st, readers.read_spine(spark, fx.spine(spark, d)))
 

@@ -109,8 +109,9 @@ def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(party_id, month_start text) for 1 January and 1 June after each statement."""
     st = statements(spark, sf_dir).select(PARTY, (F.year(DATE) + 1).alias("y"))
-    months = F.array(F.make_date("y", F.lit(1), F.lit(1)), F.make_date("y", F.lit(6), F.lit(1)))
-    return st.select(PARTY, F.explode(months).cast("string").alias("month_start"))
+    months = F.array(F.make_date("y", F.lit(1), F.lit(1)).cast("string"),
+                     F.make_date("y", F.lit(6), F.lit(1)).cast("string"))
+    return st.select(PARTY, F.explode(months).alias("month_start"))
 
 
 def inflation(spark: SparkSession, sf_dir: str) -> DataFrame:
