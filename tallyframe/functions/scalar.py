@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyframe.functions import sqltext
+
 
 def null_double() -> Column:
     return F.lit(None).cast("double")
@@ -35,41 +37,14 @@ def plain_sum(cols: Sequence[str | Column]) -> Column:
     return reduce(lambda a, b: a + b, [as_col(c) for c in cols])
 
 
-def ordered_add(a: Column, b: Column) -> Column:
-    """``a + b``, written ``a - (-b)`` (the same IEEE result).
-
-    Spark treats ``a + b + c`` and ``c + a + b`` as one expression when it
-    eliminates common subexpressions (addition is canonicalised as
-    commutative), so two features summing the same accounts in different
-    orders would share one evaluation and differ from the catalogue order in
-    the last bit.  Subtraction is not reordered, so each sum keeps its order.
-    """
-    return a - (-b)
-
-
-def zero_sum(cols: Sequence[str | Column]) -> Column | None:
-    """Left-to-right sum with null read as 0; ``None`` for an empty list."""
-    if not cols:
-        return None
-    return reduce(ordered_add, [coalesce0(c) for c in cols])
-
-
-def signed_sum(added: Sequence[str | Column], subtracted: Sequence[str | Column] = ()) -> Column:
-    """``sum(added) - sum(subtracted)`` with null read as 0; never null.
+def signed_sum(added: Sequence[str], subtracted: Sequence[str] = ()) -> Column:
+    """``sum(added) - sum(subtracted)`` over account columns, null read as 0; never null.
 
-    The operands are folded left to right in the given order and the two
-    partial sums are subtracted once, so doubles come out bit-identical to a
-    SQL engine evaluating the same text.
+    Operands are folded left to right in the given order (see
+    :func:`tallyframe.functions.sqltext.signed_sum`), so doubles are bit-identical
+    to a SQL engine evaluating the same text.
     """
-    pos = zero_sum(added)
-    neg = zero_sum(subtracted)
-    if pos is None and neg is None:
-        return F.lit(0.0)
-    if neg is None:
-        return pos
-    if pos is None:
-        return F.lit(0.0) - neg
-    return pos - neg
+    return F.expr(sqltext.signed_sum(list(added), list(subtracted)).text)
 
 
 def safe_div(num: str | Column, den: str | Column) -> Column:

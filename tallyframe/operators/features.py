@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from tallyframe.catalog import (
     Aggregate, Catalog, ConfigFeature, Custom, Ratio, base_account, is_last_year,
 )
-from tallyframe.functions.scalar import safe_div, signed_sum
-from tallyframe.operators.formulas import formula_column, formula_inputs, prev_name
+from tallyframe.functions import sqltext
+from tallyframe.functions.sqltext import Sql, alias, ident
+from tallyframe.operators.formulas import formula_inputs, formula_sql, prev_name
 
 KEYS = ("party_id", "data_date")
 
@@ -51,12 +52,12 @@ def available_features(catalog: Catalog, columns: Iterable[str], names: Iterable
     return calculable, skipped
 
 
-def aggregate_expr(f: Aggregate) -> Column:
-    return signed_sum(f.added, f.subtracted)
+def aggregate_sql(f: Aggregate) -> Sql:
+    return sqltext.signed_sum(list(f.added), list(f.subtracted))
 
 
-def _custom_expr(f: Custom) -> Column:
-    return formula_column(f.name)
+def aggregate_expr(f: Aggregate) -> Column:
+    return F.expr(aggregate_sql(f).text)
 
 
 def compute_features(df: DataFrame, catalog: Catalog | None = None, names: Sequence[str] | None = None,
@@ -93,17 +94,19 @@ def compute_features(df: DataFrame, catalog: Catalog | None = None, names: Seque
                     raw.setdefault(parent)
     raw_cols = [c for c in raw if c not in fixed and c not in agg_names]
 
-    stage1 = df.select(*fixed, *raw_cols, *[aggregate_expr(f).alias(f.name) for f in aggregates])
+    stage1 = df.selectExpr(*[ident(c) for c in (*fixed, *raw_cols)],
+                           *[alias(aggregate_sql(f), f.name) for f in aggregates])
 
-    def expr(name: str) -> Column:
+    def expr(name: str) -> Sql:
         if name not in catalog or name in agg_names:
-            return F.col(name)
+            return sqltext.col(name)
         f = catalog[name]
         if isinstance(f, Ratio):
-            return safe_div(expr(f.numerator), expr(f.denominator))
-        return _custom_expr(f)
+            return sqltext.safe_div(expr(f.numerator), expr(f.denominator))
+        return formula_sql(f.name)
 
-    return stage1.select(*fixed, *[expr(n).cast("double").alias(n) for n in names])
+    return stage1.selectExpr(*[ident(c) for c in fixed],
+                             *[alias(f"CAST({expr(n).text} AS DOUBLE)", n) for n in names])
 
 
 def aggregate_features(df: DataFrame, catalog: Catalog | None = None, **kw) -> DataFrame:
@@ -130,19 +133,21 @@ def config_column(name: str) -> str:
     return prev_name(base_account(name)) if is_last_year(name) else name
 
 
-def config_feature_expr(f: ConfigFeature) -> Column:
-    num = signed_sum([config_column(c) for c in f.numerator], [config_column(c) for c in f.neg_numerator])
+def config_feature_sql(f: ConfigFeature) -> Sql:
+    num = sqltext.signed_sum([config_column(c) for c in f.numerator], [config_column(c) for c in f.neg_numerator])
     if not f.has_denominator:
-        return num.cast("double")
-    den = signed_sum([config_column(c) for c in f.denominator], [config_column(c) for c in f.neg_denominator])
+        return Sql(f"CAST({num.text} AS DOUBLE)")
+    den = sqltext.signed_sum([config_column(c) for c in f.denominator],
+                             [config_column(c) for c in f.neg_denominator])
     # Coalesced sums are never null, so only the zero test can fire.
-    return safe_div(num, den).cast("double")
+    return sqltext.safe_div(num, den)
 
 
 def config_features(df: DataFrame, features: Sequence[ConfigFeature], keys: Sequence[str] = KEYS,
                     carry: Sequence[str] = ()) -> DataFrame:
     """Flat-dialect features, one projection; missing accounts count as 0."""
-    return df.select(*keys, *carry, *[config_feature_expr(f).alias(f.name) for f in features])
+    return df.selectExpr(*[ident(c) for c in (*keys, *carry)],
+                         *[alias(config_feature_sql(f), f.name) for f in features])
 
 
 def features_long(features: DataFrame, keys: Sequence[str] = KEYS, drop_nulls: bool = True,

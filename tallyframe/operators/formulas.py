@@ -18,17 +18,22 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyframe.functions.scalar import safe_div
+from tallyframe.functions import sqltext
+from tallyframe.functions.sqltext import Sql
 
 PREV_SUFFIX = "_prev"
 
-Formula = Callable[[Callable[[str], Column], Callable[[str], Column]], tuple[Column, Column]]
+Formula = Callable[[Callable[[str], Sql], Callable[[str], Sql]], tuple[Sql, Sql]]
 
 _REGISTRY: dict[str, Formula] = {}
 
 
 def register_formula(name: str, fn: Formula) -> Formula:
-    """Add or replace the formula used for custom ratio ``name``."""
+    """Add or replace the formula used for custom ratio ``name``.
+
+    ``fn(c, p)`` returns ``(numerator, denominator)`` built with ``+ - * /``
+    from ``c(code)`` (this year) and ``p(code)`` (last year) and numbers.
+    """
     _REGISTRY[name] = fn
     return fn
 
@@ -48,13 +53,18 @@ def prev_name(code: str) -> str:
     return f"{code}{PREV_SUFFIX}"
 
 
-def formula_column(name: str, cur: Callable[[str], Column] | None = None,
-                   prev: Callable[[str], Column] | None = None) -> Column:
-    """Spark expression of custom ratio ``name`` over columns ``code`` / ``code_prev``."""
-    cur = cur or F.col
-    prev = prev or (lambda code: F.col(prev_name(code)))
+def formula_sql(name: str, cur: Callable[[str], Sql] | None = None,
+                prev: Callable[[str], Sql] | None = None) -> Sql:
+    """Expression text of custom ratio ``name`` over columns ``code`` / ``code_prev``."""
+    cur = cur or sqltext.col
+    prev = prev or (lambda code: sqltext.col(prev_name(code)))
     num, den = formula(name)(cur, prev)
-    return safe_div(num, den)
+    return sqltext.safe_div(num, den)
+
+
+def formula_column(name: str) -> Column:
+    """Spark ``Column`` of custom ratio ``name`` (one JVM call)."""
+    return F.expr(formula_sql(name).text)
 
 
 def formula_inputs(name: str) -> tuple[list[str], list[str]]:
@@ -62,28 +72,18 @@ def formula_inputs(name: str) -> tuple[list[str], list[str]]:
     cur_seen: dict[str, None] = {}
     prev_seen: dict[str, None] = {}
 
-    def cur(code: str):
+    def cur(code: str) -> Sql:
         cur_seen.setdefault(code)
-        return _Operand()
+        return sqltext.col(code)
 
-    def prev(code: str):
+    def prev(code: str) -> Sql:
         prev_seen.setdefault(code)
-        return _Operand()
+        return sqltext.col(prev_name(code))
 
     formula(name)(cur, prev)
     return list(cur_seen), list(prev_seen)
 
 
-class _Operand:
-    """Stand-in operand that absorbs arithmetic; lets formulas be inspected without Spark."""
-
-    def _op(self, *_):
-        return self
-
-    __add__ = __radd__ = __sub__ = __rsub__ = __mul__ = __rmul__ = _op
-    __truediv__ = __rtruediv__ = __neg__ = _op
-
-
 def _register(name: str):
     def deco(fn: Formula) -> Formula:
         return register_formula(name, fn)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalar import month_from_index, month_index
+from tallyframe.functions.sqltext import ident, struct_of
 from tallyframe.operators.formulas import prev_name
 from tallyframe.sources.schema import DATE, FLAG, KEYS, PARTY
 
@@ -45,14 +46,15 @@ def pair_prev(df: DataFrame, shift_cols: Sequence[str], cur_cols: Sequence[str]
     """
     cur_cols = [c for c in df.columns if c not in (*keys, flag_col)] if cur_cols is None else cur_cols
     cur_cols, shift_cols = _values(cur_cols), _values(shift_cols)
-    flag = F.col(flag_col)
-    aggs = [F.max(F.when(flag == 0, F.struct(*cur_cols))).alias(_CUR)]
+    flag = ident(flag_col)
+    aggs = [F.expr(f"max(CASE WHEN {flag} = 0 THEN {struct_of(cur_cols)} END)").alias(_CUR)]
     if shift_cols:
-        aggs.append(F.max(F.when(flag == 1, F.struct(*shift_cols))).alias(_PREV))
-    paired = df.where(flag.isin(0, 1)).groupBy(*keys).agg(*aggs).where(F.col(_CUR).isNotNull())
-    out = [F.col(k) for k in keys] + [F.col(f"{_CUR}.{c}").alias(c) for c in cur_cols]
-    out += [F.col(f"{_PREV}.{c}").alias(prev_name(c)) for c in shift_cols]
-    return paired.select(*out)
+        aggs.append(F.expr(f"max(CASE WHEN {flag} = 1 THEN {struct_of(shift_cols)} END)").alias(_PREV))
+    paired = (df.where(F.col(flag_col).isin(0, 1)).groupBy(*keys).agg(*aggs)
+                .where(F.col(_CUR).isNotNull()))
+    out = [ident(k) for k in keys] + [f"{_CUR}.{ident(c)} AS {ident(c)}" for c in cur_cols]
+    out += [f"{_PREV}.{ident(c)} AS {ident(prev_name(c))}" for c in shift_cols]
+    return paired.selectExpr(*out)
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -60,8 +62,8 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     vals = [c for c in df.columns if c not in keys]
     if not vals:
         return df.dropDuplicates(list(keys))
-    return (df.groupBy(*keys).agg(F.max(F.struct(*vals)).alias(_CUR))
-              .select(*keys, *[F.col(f"{_CUR}.{c}").alias(c) for c in vals]))
+    return (df.groupBy(*keys).agg(F.expr(f"max({struct_of(vals)})").alias(_CUR))
+              .selectExpr(*[ident(k) for k in keys], *[f"{_CUR}.{ident(c)} AS {ident(c)}" for c in vals]))
 
 
 def date_bounds(df: DataFrame, date_col: str = DATE) -> tuple:
@@ -103,9 +105,9 @@ def year_panel(df: DataFrame, value_cols: Sequence[str] | None = None, keys: Seq
     grid = year_grid(df, keys, bounds).select(party, date, F.lit(None).cast(_struct_type(df, value_cols)).alias(_CUR))
     d = F.col(date)
     dec = (df.where((F.month(d) == 12) & (F.dayofmonth(d) == 31))
-             .select(party, date, F.struct(*value_cols).alias(_CUR)))
+             .selectExpr(ident(party), ident(date), f"{struct_of(value_cols)} AS {_CUR}"))
     merged = grid.unionByName(dec).groupBy(party, date).agg(F.max(_CUR).alias(_CUR))
-    return merged.select(party, date, *[F.col(f"{_CUR}.{c}").alias(c) for c in value_cols])
+    return merged.selectExpr(ident(party), ident(date), *[f"{_CUR}.{ident(c)} AS {ident(c)}" for c in value_cols])
 
 
 def _struct_type(df: DataFrame, cols: Sequence[str]) -> str:
@@ -116,8 +118,8 @@ def _struct_type(df: DataFrame, cols: Sequence[str]) -> str:
 def lag_prev(panel: DataFrame, shift_cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Add ``<c>_prev`` = value of the previous grid row of the same party."""
     party, date = keys
-    w = Window.partitionBy(party).orderBy(date)
-    return panel.select("*", *[F.lag(c, 1).over(w).alias(prev_name(c)) for c in _values(shift_cols)])
+    w = f"OVER (PARTITION BY {ident(party)} ORDER BY {ident(date)})"
+    return panel.selectExpr("*", *[f"lag({ident(c)}, 1) {w} AS {ident(prev_name(c))}" for c in _values(shift_cols)])
 
 
 def pair_prev_lag(df: DataFrame, shift_cols: Sequence[str], value_cols: Sequence[str] | None = None,
@@ -156,10 +158,11 @@ def forward_fill(df: DataFrame, keys: Sequence[str] = KEYS, value_cols: Sequence
     nxt = F.lead("__m").over(w_obs)
     span = F.greatest(F.coalesce(nxt - 1, F.col("__m") + extend) - F.col("__m"), F.lit(0))
     spans = obs.select(party, "__m", *value_cols, span.alias("__span"))
-    step = F.col("__k")
-    grid = spans.select(party, "__m", *value_cols, F.explode(F.sequence(F.lit(0), F.col("__span"))).alias("__k"))
-    grid = grid.select(party, (F.col("__m") + step).alias("__m"),
-                       *[F.when(step == 0, F.col(c)).alias(c) for c in value_cols])
-    w_fill = Window.partitionBy(party).orderBy("__m").rangeBetween(-months, 0)
-    return grid.select(party, month_from_index(F.col("__m")).alias(date),
-                       *[F.last(c, ignorenulls=True).over(w_fill).alias(c) for c in value_cols])
+    grid = spans.selectExpr(ident(party), "__m", *[ident(c) for c in value_cols],
+                            "explode(sequence(0, __span)) AS __k")
+    grid = grid.selectExpr(ident(party), "__m + __k AS __m",
+                           *[f"CASE WHEN __k = 0 THEN {ident(c)} END AS {ident(c)}" for c in value_cols])
+    w_fill = f"OVER (PARTITION BY {ident(party)} ORDER BY __m RANGE BETWEEN {int(months)} PRECEDING AND CURRENT ROW)"
+    filled = grid.selectExpr(ident(party), "__m",
+                             *[f"last({ident(c)}, true) {w_fill} AS {ident(c)}" for c in value_cols])
+    return filled.select(party, month_from_index(F.col("__m")).alias(date), *value_cols)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions.scalar import null_double
+from tallyframe.functions.sqltext import ident
 from tallyframe.sources.schema import ACCOUNT_CODES, DATE, FLAG, KEYS, PARTY, PHYSICAL_NAMES
 
 
@@ -19,11 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _account_value(i: int, pid: Column, yr: Column, s: Column, q: Column) -> Column:
+def _account_value(i: int) -> str:
     # Fixed values of the derivation rule: a null, a zero or an integer-cent amount.
-    return (F.when((pid * 7 + yr * 13 + i) % 11 == 0, null_double())
-             .when((pid + yr + i) % 17 == 0, F.lit(0.0))
-             .otherwise(((s * (101 + 2 * i) + q * (31 * i)) % 1000003).cast("double") / 100))
+    return (f"CASE WHEN (party_id * 7 + yr * 13 + {i}) % 11 = 0 THEN CAST(NULL AS DOUBLE) "
+            f"WHEN (party_id + yr + {i}) % 17 = 0 THEN 0.0D "
+            f"ELSE CAST((s * {101 + 2 * i} + q * {31 * i}) % 1000003 AS DOUBLE) / 100 END")
 
 
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +34,8 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
              .groupBy(F.col("o_custkey").alias(PARTY), F.year("o_orderdate").cast("bigint").alias("yr"))
              .agg(F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("s"),
                   F.sum(F.col("l_quantity").cast("bigint")).alias("q")))
-    pid, yr, s, q = F.col(PARTY), F.col("yr"), F.col("s"), F.col("q")
-    accounts = [_account_value(i, pid, yr, s, q).alias(code)
-                for i, code in enumerate(sorted(ACCOUNT_CODES), start=1)]
-    return led.select(pid, F.make_date(yr.cast("int"), F.lit(12), F.lit(31)).alias(DATE), *accounts)
+    accounts = [f"{_account_value(i)} AS {ident(code)}" for i, code in enumerate(sorted(ACCOUNT_CODES), start=1)]
+    return led.selectExpr(PARTY, f"make_date(CAST(yr AS INT), 12, 31) AS {DATE}", *accounts)
 
 
 def _next_year_end(d: Column) -> Column:
@@ -73,24 +71,20 @@ def raw_mapping() -> dict[str, str]:
     return out
 
 
-def _date_text(d: Column, pid: Column) -> Column:
-    """Date as text in one of three layouts, chosen by party."""
-    return (F.when(pid % 3 == 0, F.date_format(d, "yyyyMMdd"))
-             .when(pid % 3 == 1, F.date_format(d, "yyyy-MM-dd"))
-             .otherwise(F.date_format(d, "dd.MM.yyyy")))
-
-
 def statements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged statements as a raw source table: physical names, text dates."""
     fl = statements_flagged(spark, sf_dir)
-    cols = [F.col(PARTY).alias("Party_Id"), _date_text(F.col(DATE), F.col(PARTY)).alias("DATA_DATE"),
-            F.col(FLAG).alias("Prev_Financial_Indicator")]
+    cols = [f"{PARTY} AS Party_Id",
+            f"CASE WHEN {PARTY} % 3 = 0 THEN date_format({DATE}, 'yyyyMMdd') "
+            f"WHEN {PARTY} % 3 = 1 THEN date_format({DATE}, 'yyyy-MM-dd') "
+            f"ELSE date_format({DATE}, 'dd.MM.yyyy') END AS DATA_DATE",
+            f"{FLAG} AS Prev_Financial_Indicator"]
     for code in ACCOUNT_CODES:
         if code == SPLIT_CODE:
-            cols += [F.col(code).alias(SPLIT_PARTS[0]), F.lit(0.0).alias(SPLIT_PARTS[1])]
+            cols += [f"{ident(code)} AS {SPLIT_PARTS[0]}", f"0.0D AS {SPLIT_PARTS[1]}"]
         else:
-            cols.append(F.col(code).alias(_raw_name(code)))
-    return fl.select(*cols)
+            cols.append(f"{ident(code)} AS {ident(_raw_name(code))}")
+    return fl.selectExpr(*cols)
 
 
 def statements_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
