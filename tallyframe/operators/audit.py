@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.catalog import Catalog, Custom
 from tallyframe.functions.scalar import month_bounds
+from tallyframe.functions.sqltext import ident
 from tallyframe.operators.features import available_features
 from tallyframe.operators.formulas import formula_inputs, prev_name
 from tallyframe.sources.schema import DATE, KEYS
@@ -105,18 +106,20 @@ def coverage_report(df: DataFrame, catalog: Catalog | None = None,
     for i, n in enumerate(names):
         if n in ok:
             inputs = _input_columns(catalog, n, cols)
-            cond = F.lit(True)
-            for c in inputs:
-                cond = cond & F.col(c).isNotNull()
-            counts.append(F.count_if(cond).alias(f"c{i}"))
-    totals = df.agg(*counts) if counts else df.sparkSession.range(1).select()
+            cond = " AND ".join(f"{ident(c)} IS NOT NULL" for c in inputs) or "true"
+            counts.append(f"count_if({cond}) AS c{i}")
+    # One global aggregate: a select of aggregate expressions.
+    totals = df.selectExpr(*counts) if counts else df.sparkSession.range(1)
     entries = []
     for i, n in enumerate(names):
         f = catalog[n]
-        count = F.col(f"c{i}") if n in ok else F.lit(None).cast("bigint")
-        entries.append(F.struct(
-            F.lit(i + 1).alias("position"), F.lit(n).alias("feature"), F.lit(f.kind).alias("kind"),
-            F.lit("calculable" if n in ok else "skipped").alias("status"),
-            F.lit(",".join(skipped.get(n, []))).alias("missing_accounts"),
-            count.alias("complete_rows")))
-    return totals.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+        count = f"c{i}" if n in ok else "CAST(NULL AS BIGINT)"
+        missing = ",".join(skipped.get(n, []))
+        entries.append(f"named_struct('position', {i + 1}, 'feature', {_str(n)}, 'kind', {_str(f.kind)}, "
+                       f"'status', {_str('calculable' if n in ok else 'skipped')}, "
+                       f"'missing_accounts', {_str(missing)}, 'complete_rows', {count})")
+    return totals.selectExpr(f"inline(array({', '.join(entries)}))")
+
+
+def _str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"

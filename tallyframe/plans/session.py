@@ -14,9 +14,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
-    # Wide feature projections (hundreds of columns) still compile into one
-    # generated stage instead of falling back to per-operator code.
-    "spark.sql.codegen.maxFields": "1000",
 }
 
 

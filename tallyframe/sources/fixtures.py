@@ -45,13 +45,17 @@ def _next_year_end(d: Column) -> Column:
 def statements_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flag 0: each statement. Flag 1: the same figures re-dated to the next year end,
     as restated in the next filing (left out for parties divisible by 6).  The
-    year after a party's last statement therefore has a flag-1 row only."""
+    year after a party's last statement therefore has a flag-1 row only.
+
+    Both flags come from one pass over the statements (each row expands to
+    one or two rows), so the derivation is computed once."""
     st = statements(spark, sf_dir)
-    cur = st.withColumn(FLAG, F.lit(0))
-    prev = (st.where(F.col(PARTY) % 6 != 0)
-              .withColumn(DATE, _next_year_end(F.col(DATE)))
-              .withColumn(FLAG, F.lit(1)))
-    return cur.unionByName(prev)
+    values = [ident(c) for c in st.columns if c not in (PARTY, DATE)]
+    expanded = st.selectExpr(PARTY, DATE, *values, f"explode(array(0, 1)) AS {FLAG}")
+    return (expanded.where(f"{FLAG} = 0 OR {PARTY} % 6 != 0")
+                    .selectExpr(PARTY, f"CASE WHEN {FLAG} = 0 THEN {DATE} "
+                                       f"ELSE make_date(year({DATE}) + 1, 12, 31) END AS {DATE}",
+                                *values, FLAG))
 
 
 def _raw_name(code: str) -> str:
