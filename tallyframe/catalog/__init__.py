@@ -203,16 +203,19 @@ class Catalog:
 
     def closure(self, names: Iterable[str]) -> list[str]:
         """``names`` plus every catalogue feature they are computed from, in catalogue order."""
+        names = list(names)
+        unknown = [n for n in names if n not in self]
+        if unknown:
+            raise KeyError(f"not found in catalogue: {unknown}")
         need: set[str] = set()
-        stack = list(names)
+        stack = names
         while stack:
             n = stack.pop()
             if n in need:
                 continue
-            if n not in self:
-                raise KeyError(f"{n!r} not found in catalogue")
             need.add(n)
-            stack.extend(self.parents(n))
+            # A parent outside the catalogue is a raw column, read as is.
+            stack.extend(p for p in self.parents(n) if p in self)
         return [n for n in self.names if n in need]
 
     def accounts(self, names: Iterable[str] | None = None) -> list[str]:
