@@ -14,6 +14,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a wide
+    # projection fused into one generated method would then run interpreted.
+    # Above this size Spark splits the stage out of whole-stage codegen instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
