@@ -115,7 +115,7 @@ class Catalog:
             doc = yaml.safe_load(fh)
         if isinstance(doc, Mapping) and {"aggregates", "ratios", "custom"} & set(doc):
             return cls.from_compact(doc)
-        return cls.from_longlist(doc)
+        return cls.from_func_dialect(doc)
 
     @classmethod
     def from_compact(cls, doc: Mapping) -> Catalog:
@@ -129,7 +129,7 @@ class Catalog:
         return cls(feats)
 
     @classmethod
-    def from_longlist(cls, doc: Mapping) -> Catalog:
+    def from_func_dialect(cls, doc: Mapping) -> Catalog:
         """Catalogue in the name -> {func, args: {...}} dialect."""
         feats: list[Feature] = []
         for name, spec in doc.items():

@@ -52,7 +52,7 @@ def test_only_mapped_codes_gives_199_features(cat):
     assert len(skipped) == 474 - 199
 
 
-def test_longlist_dialect():
+def test_func_dialect():
     doc = {
         "S1": {"func": "calculate_financial_aggregate", "args": {"added_accounts": ["A", "B"],
                                                                   "subtracted_accounts": ["C"]}},
@@ -64,7 +64,7 @@ def test_longlist_dialect():
         "EF_17": {"func": "calculate_custom_financial_ratio",
                   "args": {"required_columns": ["A_15", "G_62"], "columns_to_shift": ["A_15"]}},
     }
-    c = Catalog.from_longlist(doc)
+    c = Catalog.from_func_dialect(doc)
     assert c.names == ["S1", "S2", "R1", "R2", "EF_17"]
     assert c.raw_dependencies("R2") == {"A", "B", "C", "D", "RAW_X"}
     assert c.closure(["R2"]) == ["S1", "S2", "R1", "R2"]
