@@ -242,6 +242,11 @@ from j window w as (partition by party_id order by month_date rows between 12 pr
         + ", ".join(q(n) for n in lq) + " into name feature value value) u")
     out["panel_features"] = with_fixtures("lagged") + features_sql("lagged", all_feats)
     out["stage_panel"] = with_fixtures("panel") + 'select party_id, data_date, "A_1", "P_3", "G_60" from panel'
+    out["read_statements"] = (
+        with_fixtures("flagged")
+        + "select party_id, data_date, prev_financial_indicator, "
+        + ", ".join(q(c) for c in sorted(MAPPED)) + " from flagged where prev_financial_indicator in (0, 1)")
+    out["write_features"] = out["agg_features"]
     out["flagship"] = (
         with_fixtures("flagged", "spine", "inflation_m")
         + f", f1 as ({_semi_spine('flagged')})"

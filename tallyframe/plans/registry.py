@@ -7,6 +7,7 @@ query's work grows with the data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,6 +168,18 @@ def q_stage_panel(spark, d):
     return staged.select(*KEYS, "A_1", "P_3", "G_60")
 
 
+def q_read_statements(spark, d):
+    """Keys, flags 0/1 and only the 23 accounts with descriptive names."""
+    return readers.read_statements(spark, fx.statements_flagged(spark, d), sorted(PHYSICAL_NAMES), flags=(0, 1))
+
+
+def q_write_features(spark, d):
+    """Aggregates written as ORC to the shared folder, read back."""
+    path = f"{sinks.shared_dir(spark)}/features-{uuid.uuid4().hex}"
+    sinks.write_features(features.aggregate_features(fx.statements(spark, d), _cat()), path, fmt="orc")
+    return spark.read.orc(path)
+
+
 def q_flagship(spark, d):
     return pipelines.spine_job(fx.spine(spark, d), fx.statements_flagged(spark, d), fx.inflation(spark, d),
                                _cat())
@@ -204,5 +217,7 @@ QUERIES: dict[str, Query] = {
     "features_long": q_features_long,
     "panel_features": q_panel_features,
     "stage_panel": q_stage_panel,
+    "read_statements": q_read_statements,
+    "write_features": q_write_features,
     "flagship": q_flagship,
 }
