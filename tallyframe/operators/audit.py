@@ -38,7 +38,8 @@ def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, s
     map-side partial aggregate), and the pair counts of each key follow from
     its per-side row and null counts.  A key duplicated on both sides costs
     one aggregate row, not the product of its duplicates.  Rows with a null
-    key match nothing and count on their own, as in the join.
+    key match nothing and count on their own, as in the join.  Each input is
+    read once.
     """
     n = len(pairs)
     zero = F.lit(0).cast("bigint")
@@ -54,22 +55,25 @@ def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, s
         return df.select(*cols)
 
     rows = side(model, 0).unionByName(side(source, 1))
-    any_null_key = None
-    for k in keys:
-        any_null_key = F.col(k).isNull() if any_null_key is None else any_null_key | F.col(k).isNull()
-    per_key = (rows.where(~any_null_key).groupBy(*keys)
-                   .agg(*[F.sum(c).alias(c) for c in ["__mr", "__sr"] + [f"__{s}{i}" for i in range(n) for s in ("mn", "sn")]]))
-    lone = rows.where(any_null_key)  # every null-key row is its own join row
-    parts = per_key.unionByName(lone)
+    sums = ["__mr", "__sr"] + [f"__{s}{i}" for i in range(n) for s in ("mn", "sn")]
+    # Rows with a null key match nothing; they share a group here but count on their own.
+    null_key = " OR ".join(f"{ident(k)} IS NULL" for k in keys)
+    parts = (rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+                 .select(F.expr(null_key).alias("__lone"), *sums))
 
     def contributions(i: int) -> list[Column]:
         mr, sr, mn, sn = F.col("__mr"), F.col("__sr"), F.col(f"__mn{i}"), F.col(f"__sn{i}")
-        # A missing side behaves as one all-null row.
+        lone = F.col("__lone")
+        # Matched key: every model row pairs with every source row.  A missing side
+        # behaves as one all-null row.  Lone rows: each row pairs with nothing.
         mr1 = F.when(mr > 0, mr).otherwise(F.lit(1))
         sr1 = F.when(sr > 0, sr).otherwise(F.lit(1))
         mn1 = F.when(mr > 0, mn).otherwise(F.lit(1))
         sn1 = F.when(sr > 0, sn).otherwise(F.lit(1))
-        return [F.sum(mn1 * sr1).alias(f"m{i}"), F.sum(sn1 * mr1).alias(f"s{i}"), F.sum(mn1 * sn1).alias(f"b{i}")]
+        m = F.when(lone, mn + sr).otherwise(mn1 * sr1)
+        s = F.when(lone, mr + sn).otherwise(sn1 * mr1)
+        b = F.when(lone, mn + sn).otherwise(mn1 * sn1)
+        return [F.sum(m).alias(f"m{i}"), F.sum(s).alias(f"s{i}"), F.sum(b).alias(f"b{i}")]
 
     totals = parts.agg(*[c for i in range(n) for c in contributions(i)])
     rows_out = [F.struct(F.lit(m).alias("model_column"), F.lit(s).alias("source_column"),
