@@ -98,10 +98,11 @@ def statements_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statement keys of parties not divisible by 4, plus each such party's next year end."""
+    """Keys of parties not divisible by 4: each statement's key and the next year end
+    (a key without a statement where the party skipped or stopped filing)."""
     st = statements(spark, sf_dir).where(F.col(PARTY) % 4 != 0)
-    nxt = st.groupBy(PARTY).agg(_next_year_end(F.max(DATE)).alias(DATE))
-    return st.select(*KEYS).unionByName(nxt).dropDuplicates(list(KEYS))
+    keys = st.selectExpr(PARTY, f"explode(array({DATE}, make_date(year({DATE}) + 1, 12, 31))) AS {DATE}")
+    return keys.dropDuplicates(list(KEYS))
 
 
 def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
