@@ -8,9 +8,9 @@ Shuffle budget (each ``Exchange`` in the physical plan):
   merge of grid and statements (exchange on (party, date), partial aggregate),
   ``lag`` window (exchange on party).  After the merge a party has exactly one
   row per year end, so window groups are bounded by the number of years;
-* :func:`forward_fill` - one exchange on party: the month grid is generated
-  from each row and its successor (``lead``), not by a join with a separate
-  grid, and the fill window reuses the same partitioning.
+* :func:`forward_fill` - per-party bounds (partial aggregate) and one window
+  exchange on (party, block of months); each block carries a 12-month halo of
+  the previous block's observations, so no window group exceeds a block.
 """
 
 from __future__ import annotations
@@ -138,31 +138,45 @@ def month_grid(df: DataFrame, keys: Sequence[str] = KEYS, extend: int = 12) -> D
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str] = KEYS, value_cols: Sequence[str] | None = None,
-                 months: int = 12, extend: int = 12) -> DataFrame:
+                 months: int = 12, extend: int = 12, block_months: int = 60) -> DataFrame:
     """Monthly grid per party with each value carried forward for at most ``months`` months.
 
     The grid runs from the party's first month to its last month + ``extend``;
     a value observed in month m fills months m..m+``months`` unless a newer
     non-null value exists.  The frame is counted in calendar months
-    (``rangeBetween``), so it stays right if the input has gaps or repeats.
-
-    Plan: one exchange on party.  ``lead`` gives each row the month of the
-    next observation; the row then expands into itself plus the empty months
-    up to that one (or ``extend`` months after the last), and ``last(ignorenulls)``
-    over the same partitioning fills them.
+    (``RANGE BETWEEN months PRECEDING``), so it stays right across gaps.  The
+    input is expected to hold at most one row per party and month (the grid is
+    one row per month).
+
+    Plan: per-party bounds (hash aggregate with map-side partial), then one
+    window exchange on (party, block of ``block_months`` months).  Each block
+    also receives the observations of the last ``months`` months of the block
+    before it, so every frame is complete inside its block; a party with a long
+    history is spread over many tasks instead of one, and no window group holds
+    more than ``block_months + months`` months of rows.
     """
     party, date = keys
     value_cols = [c for c in df.columns if c not in keys] if value_cols is None else list(value_cols)
-    w_obs = Window.partitionBy(party).orderBy("__m")
+    B = max(int(block_months), int(months))
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     obs = df.select(party, month_index(F.col(date)).alias("__m"), *value_cols)
-    nxt = F.lead("__m").over(w_obs)
-    span = F.greatest(F.coalesce(nxt - 1, F.col("__m") + extend) - F.col("__m"), F.lit(0))
-    spans = obs.select(party, "__m", *value_cols, span.alias("__span"))
-    grid = spans.selectExpr(ident(party), "__m", *[ident(c) for c in value_cols],
-                            "explode(sequence(0, __span)) AS __k")
-    grid = grid.selectExpr(ident(party), "__m + __k AS __m",
-                           *[f"CASE WHEN __k = 0 THEN {ident(c)} END AS {ident(c)}" for c in value_cols])
-    w_fill = f"OVER (PARTITION BY {ident(party)} ORDER BY __m RANGE BETWEEN {int(months)} PRECEDING AND CURRENT ROW)"
-    filled = grid.selectExpr(ident(party), "__m",
-                             *[f"last({ident(c)}, true) {w_fill} AS {ident(c)}" for c in value_cols])
+    bounds = obs.groupBy(party).agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
+    grid = (bounds.selectExpr(ident(party), "__lo", "__hi",
+                              f"explode(sequence(CAST(floor(__lo / {B}) AS INT), "
+                              f"CAST(floor((__hi + {int(extend)}) / {B}) AS INT))) AS __b")
+                  .selectExpr(ident(party), "__b",
+                              f"explode(sequence(greatest(__lo, __b * {B}), "
+                              f"least(__hi + {int(extend)}, __b * {B} + {B - 1}))) AS __m")
+                  .selectExpr(ident(party), "__b", "__m", "true AS __grid",
+                              *[f"CAST(NULL AS {types[c]}) AS {ident(c)}" for c in value_cols]))
+    halo = (f"explode(CASE WHEN __m % {B} >= {B - int(months)} "
+            f"THEN array(CAST(floor(__m / {B}) AS INT), CAST(floor(__m / {B}) AS INT) + 1) "
+            f"ELSE array(CAST(floor(__m / {B}) AS INT)) END) AS __b")
+    seen = obs.selectExpr(ident(party), halo, "__m", "false AS __grid", *[ident(c) for c in value_cols])
+    w = (f"OVER (PARTITION BY {ident(party)}, __b ORDER BY __m "
+         f"RANGE BETWEEN {int(months)} PRECEDING AND CURRENT ROW)")
+    filled = (grid.unionByName(seen)
+                  .selectExpr(ident(party), "__m", "__grid",
+                              *[f"last({ident(c)}, true) {w} AS {ident(c)}" for c in value_cols])
+                  .where("__grid"))
     return filled.select(party, month_from_index(F.col("__m")).alias(date), *value_cols)

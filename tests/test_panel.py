@@ -76,3 +76,14 @@ def test_forward_fill_newer_value_wins(spark):
     out = {(r.party_id, r.data_date): r for r in forward_fill(stmts(spark, rows)).collect()}
     assert out[(1, d(2020, 3, 1))].A == 1.0 and out[(1, d(2020, 5, 1))].A == 2.0
     assert out[(2, d(2020, 6, 1))].B == 3.0 and out[(2, d(2020, 6, 1))].A is None
+
+
+def test_forward_fill_blocks_do_not_change_result(spark):
+    from tallyframe.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    sparse = fx.sparse(spark, SF_SMALL)
+    small = forward_fill(sparse, block_months=13)
+    large = forward_fill(sparse, block_months=1200)
+    a = sorted(map(tuple, small.collect()))
+    b = sorted(map(tuple, large.collect()))
+    assert a == b and len(a) > 0
