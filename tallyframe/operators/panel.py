@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.scalar import month_from_index, month_index
 from tallyframe.functions.sqltext import ident, struct_of
 from tallyframe.operators.formulas import prev_name
-from tallyframe.sources.schema import DATE, FLAG, KEYS, PARTY
+from tallyframe.sources.schema import DATE, FLAG, KEYS
 
 _CUR, _PREV = "__cur", "__prev"
 

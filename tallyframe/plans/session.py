@@ -43,11 +43,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession, path: str | None = None) -> str:
-    """Return the session's checkpoint folder, setting one only where none is configured."""
+    """Return the session's checkpoint folder, setting one only where none is configured.
+
+    On a cluster the folder must come from ``spark.checkpoint.dir``; only local
+    sessions (tests, benchmarks) get a temporary folder of their own.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current
+    if path is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: a cluster job needs a shared folder "
+                         "(HDFS/S3/ABFS) there; a machine-local folder would be lost with its executor")
     path = path or tempfile.mkdtemp(prefix="tallyframe-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

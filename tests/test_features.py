@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallyframe.catalog import Catalog, ConfigFeature
 from tallyframe.operators.features import (

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tallyframe.operators.panel import (
     dedupe_latest, forward_fill, month_grid, pair_prev, pair_prev_lag, year_grid, year_panel,
