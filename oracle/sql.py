@@ -199,7 +199,8 @@ def agg_sql(added: list[str], subtracted: list[str]) -> str:
 
 
 def div_sql(num: str, den: str) -> str:
-    return f"case when ({den}) is null or ({den}) = 0 then null else ({num}) / ({den}) end"
+    return (f"case when ({den}) is null or ({den}) = 0 then null "
+            f"when isinf(({num}) / ({den})) then null else ({num}) / ({den}) end")
 
 
 def _quote_idents(expr: str) -> str:

@@ -103,9 +103,15 @@ def signed_sum(added: Sequence[str | Sql], subtracted: Sequence[str | Sql] = ())
 
 
 def safe_div(num: Sql, den: Sql) -> Sql:
-    """``num / den``; null when ``den`` is null or zero."""
+    """``num / den``; null when ``den`` is null or zero, or when the quotient overflows to +-inf."""
+    q = f"{num.text} / {den.text}"
     return Sql(f"CASE WHEN {den.text} IS NULL OR {den.text} = 0 THEN CAST(NULL AS DOUBLE) "
-               f"ELSE {num.text} / {den.text} END")
+               f"WHEN abs({q}) = double('Infinity') THEN CAST(NULL AS DOUBLE) ELSE {q} END")
+
+
+def missing_as_null(name: str) -> str:
+    """Account column as double with NaN read as missing (null), as pandas-written inputs need."""
+    return f"nanvl(CAST({ident(name)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {ident(name)}"
 
 
 def alias(expr: Sql | str, name: str) -> str:

@@ -4,6 +4,7 @@ Every feature is a row-wise expression of one statement row (plus its
 previous-year columns ``<code>_prev``), so a whole catalogue becomes two
 stacked projections and no shuffle:
 
+0. keys + the account columns read, as doubles with NaN read as missing;
 1. keys + every aggregate the requested features need (each computed once),
    plus the raw columns custom formulas and raw ratio parents read;
 2. keys + the requested features in catalogue order; ratios refer to the
@@ -94,8 +95,11 @@ def compute_features(df: DataFrame, catalog: Catalog | None = None, names: Seque
                     raw.setdefault(parent)
     raw_cols = [c for c in raw if c not in fixed and c not in agg_names]
 
-    stage1 = df.selectExpr(*[ident(c) for c in (*fixed, *raw_cols)],
-                           *[alias(aggregate_sql(f), f.name) for f in aggregates])
+    accounts = list(dict.fromkeys([*raw_cols, *(a for f in aggregates for a in (*f.added, *f.subtracted)
+                                                 if a not in fixed)]))
+    stage0 = df.selectExpr(*[ident(c) for c in fixed], *[sqltext.missing_as_null(c) for c in accounts])
+    stage1 = stage0.selectExpr(*[ident(c) for c in (*fixed, *raw_cols)],
+                               *[alias(aggregate_sql(f), f.name) for f in aggregates])
 
     def expr(name: str) -> Sql:
         if name not in catalog or name in agg_names:
@@ -146,8 +150,12 @@ def config_feature_sql(f: ConfigFeature) -> Sql:
 def config_features(df: DataFrame, features: Sequence[ConfigFeature], keys: Sequence[str] = KEYS,
                     carry: Sequence[str] = ()) -> DataFrame:
     """Flat-dialect features, one projection; missing accounts count as 0."""
-    return df.selectExpr(*[ident(c) for c in (*keys, *carry)],
-                         *[alias(config_feature_sql(f), f.name) for f in features])
+    fixed = [*keys, *carry]
+    accounts = list(dict.fromkeys(config_column(c) for f in features for c in f.columns()))
+    clean = df.selectExpr(*[ident(c) for c in fixed], *[sqltext.missing_as_null(c) for c in accounts
+                                                        if c not in fixed])
+    return clean.selectExpr(*[ident(c) for c in fixed],
+                            *[alias(config_feature_sql(f), f.name) for f in features])
 
 
 def features_long(features: DataFrame, keys: Sequence[str] = KEYS, drop_nulls: bool = True,

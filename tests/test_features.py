@@ -143,3 +143,17 @@ def test_no_nan_in_output(spark, cat):
     for r in out.collect():
         for v in r[2:]:
             assert v is None or not math.isnan(v)
+
+
+def test_nan_input_is_missing_and_overflow_is_null(spark, cat):
+    row = {c: 1.0 for c in ACCOUNT_CODES}
+    row["P_3"] = float("nan")        # pandas-style missing value
+    row["A_1"] = 1e308
+    row["P_4"] = 1e-10
+    df = frame(spark, [row])
+    out = one(compute_features(df, cat, ["Financial_Aggregate_7", "LQ_01", "Financial_Aggregate_2", "DC_03"]))
+    assert out["Financial_Aggregate_7"] == 0.0          # NaN read as missing -> 0
+    assert out["LQ_01"] is None                         # A_1 / P_3 with P_3 missing -> 0 denominator
+    assert out["Financial_Aggregate_2"] == 1e-10
+    big = one(compute_features(frame(spark, [{"A_1": 1e308, "P_3": 1e-10}]), cat, ["LQ_01"]))
+    assert big["LQ_01"] is None                         # overflow to inf -> null
