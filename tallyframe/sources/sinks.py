@@ -8,16 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_features(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",
-                   partition_by: list[str] | None = None) -> None:
+                   partition_by: list[str] | None = None, bucket_by: list[str] | None = None,
+                   num_buckets: int = 0) -> None:
     """Write to a path (contains ``/``) or a managed table ``db.table``.
 
-    For a table the database is created first when missing.  The write is the
-    job's only action; task retries and speculative attempts are safe because
-    the file committer only publishes files of the successful attempt.
+    For a table the database is created first when missing.  ``bucket_by`` (tables
+    only) hash-buckets and sorts the files by those keys, so later joins of the
+    table on them (e.g. back to a spine) read co-partitioned data without a
+    shuffle.  The write is the job's only action; task retries and speculative
+    attempts are safe because the file committer only publishes files of the
+    successful attempt.
     """
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        if "/" in target:
+            raise ValueError("bucketing needs a table target")
+        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        writer = writer.bucketBy(n, bucket_by[0], *bucket_by[1:]).sortBy(bucket_by[0], *bucket_by[1:])
     if "/" in target:
         writer.save(target)
         return

@@ -107,3 +107,18 @@ def test_sinks_round_trip(spark, scratch_dir):
     assert spark.read.parquet(path).count() == 2
     write_features(df, "tallytest.features", fmt="orc")
     assert spark.table("tallytest.features").count() == 2
+
+
+def test_bucketed_features_join_without_shuffle(spark):
+    df = spark.createDataFrame([(i % 50, dt.date(2019, 12, 31), float(i)) for i in range(400)],
+                               "party_id long, data_date date, v double")
+    write_features(df, "tallytest.bucketed", bucket_by=["party_id"], num_buckets=4)
+    t = spark.table("tallytest.bucketed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force a sort-merge join
+    try:
+        joined = t.alias("a").join(t.alias("b"), "party_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert joined.count() == 400 * 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
