@@ -82,6 +82,8 @@ class ConfigFeature:
 
 Feature = Aggregate | Ratio | Custom
 
+_DEFAULT: "Catalog | None" = None
+
 
 def is_last_year(column: str) -> bool:
     return column.endswith(LAST_YEAR_SUFFIXES)
@@ -106,13 +108,17 @@ class Catalog:
     # -- loading ---------------------------------------------------------------
     @classmethod
     def default(cls) -> Catalog:
-        return cls.from_yaml(DEFAULT_CATALOGUE)
+        """The shipped 474-feature catalogue (parsed once per process; catalogues are immutable)."""
+        global _DEFAULT
+        if _DEFAULT is None:
+            _DEFAULT = cls.from_yaml(DEFAULT_CATALOGUE)
+        return _DEFAULT
 
     @classmethod
     def from_yaml(cls, path: str | Path) -> Catalog:
         """Read either our compact layout or the name -> {func, args} dialect."""
         with open(path) as fh:
-            doc = yaml.safe_load(fh)
+            doc = yaml.load(fh, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
         if isinstance(doc, Mapping) and {"aggregates", "ratios", "custom"} & set(doc):
             return cls.from_compact(doc)
         return cls.from_func_dialect(doc)
