@@ -1,7 +1,7 @@
 """Feature operators: compile a catalogue into column expressions.
 
 Every feature is a row-wise expression of one statement row (plus its
-previous-year columns ``<code>_prev``), so a whole catalogue becomes two
+previous-year columns ``<code>_prev``), so a whole catalogue becomes a few
 stacked projections and no shuffle:
 
 0. keys + the account columns read, as doubles with NaN read as missing;
