@@ -52,10 +52,11 @@ def q_parse_dates(spark, d):
 
 
 def q_restrict_to_spine(spark, d):
-    st = fx.statements_closing(spark, d)
+    base = fx.staged_statements(spark, d)
+    st = fx.statements_closing(spark, d, base)
     st = st.select(PARTY, F.try_to_date("close_date", "dd.MM.yyyy").alias("data_date"), FLAG,
                    *ACCOUNT_CODES)
-    return spine.restrict_to_spine(st, readers.read_spine(spark, fx.spine(spark, d)))
+    return spine.restrict_to_spine(st, readers.read_spine(spark, fx.spine(spark, d, base)))
 
 
 def q_year_grid(spark, d):
@@ -103,19 +104,21 @@ def q_custom_lag(spark, d):
 
 
 def q_config_features(spark, d):
-    return pipelines.config_job(fx.spine(spark, d), fx.statements_closing(spark, d),
+    base = fx.staged_statements(spark, d)
+    return pipelines.config_job(fx.spine(spark, d, base), fx.statements_closing(spark, d, base),
                                 load_ratio_config(EXAMPLE_RATIO_CONFIG), fx.inflation(spark, d))
 
 
 def q_attach_to_spine(spark, d):
     cat = _cat()
-    feats = features.ratio_features(fx.statements(spark, d), cat, cat.family("LQ_"))
-    return spine.attach_to_spine(readers.read_spine(spark, fx.spine(spark, d)), feats)
+    base = fx.staged_statements(spark, d)
+    feats = features.ratio_features(base, cat, cat.family("LQ_"))
+    return spine.attach_to_spine(readers.read_spine(spark, fx.spine(spark, d, base)), feats)
 
 
 def q_attach_prev_month_end(spark, d):
-    return spine.attach_prev_month_end(fx.month_spine(spark, d), fx.statements(spark, d),
-                                       party_type="decimal(16,0)")
+    base = fx.staged_statements(spark, d)
+    return spine.attach_prev_month_end(fx.month_spine(spark, d, base), base, party_type="decimal(16,0)")
 
 
 def q_month_grid(spark, d):
@@ -127,12 +130,12 @@ def q_forward_fill(spark, d):
 
 
 def q_null_audit(spark, d):
-    model, source = fx.audit_sides(spark, d)
+    model, source = fx.audit_sides(spark, d, fx.staged_statements(spark, d))
     return audit.null_audit(model, source, [("feature_x", "raw_feature")])
 
 
 def q_null_audit_month(spark, d):
-    model, source = fx.audit_sides(spark, d)
+    model, source = fx.audit_sides(spark, d, fx.staged_statements(spark, d))
     return audit.null_audit(audit.filter_month(model, AUDIT_MONTH), audit.filter_month(source, AUDIT_MONTH),
                             [("feature_x", "raw_feature")])
 
@@ -181,8 +184,9 @@ def q_write_features(spark, d):
 
 
 def q_flagship(spark, d):
-    return pipelines.spine_job(fx.spine(spark, d), fx.statements_flagged(spark, d), fx.inflation(spark, d),
-                               _cat())
+    base = fx.staged_statements(spark, d)
+    return pipelines.spine_job(fx.spine(spark, d, base), fx.statements_flagged(spark, d, base),
+                               fx.inflation(spark, d), _cat())
 
 
 QUERIES: dict[str, Query] = {

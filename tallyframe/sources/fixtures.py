@@ -38,18 +38,32 @@ def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return led.selectExpr(PARTY, f"make_date(CAST(yr AS INT), 12, 31) AS {DATE}", *accounts)
 
 
+def staged_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`statements`, computed once and staged as Parquet in the shared checkpoint folder.
+
+    For jobs that read the derived statements in several branches (spine and
+    filings, model and source): the line-item join and aggregation run once,
+    every branch reads the staged files (with column pruning: the spine reads
+    only its keys), and a lost executor re-reads them instead of recomputing
+    the join.
+    """
+    from tallyframe.sources.sinks import stage_panel
+
+    return stage_panel(statements(spark, sf_dir))
+
+
 def _next_year_end(d: Column) -> Column:
     return F.make_date(F.year(d) + 1, F.lit(12), F.lit(31))
 
 
-def statements_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statements_flagged(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Flag 0: each statement. Flag 1: the same figures re-dated to the next year end,
     as restated in the next filing (left out for parties divisible by 6).  The
     year after a party's last statement therefore has a flag-1 row only.
 
     Both flags come from one pass over the statements (each row expands to
     one or two rows), so the derivation is computed once."""
-    st = statements(spark, sf_dir)
+    st = statements(spark, sf_dir) if st is None else st
     values = [ident(c) for c in st.columns if c not in (PARTY, DATE)]
     expanded = st.selectExpr(PARTY, DATE, *values, f"explode(array(0, 1)) AS {FLAG}")
     return (expanded.where(f"{FLAG} = 0 OR {PARTY} % 6 != 0")
@@ -75,9 +89,9 @@ def raw_mapping() -> dict[str, str]:
     return out
 
 
-def statements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statements_raw(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Flagged statements as a raw source table: physical names, text dates."""
-    fl = statements_flagged(spark, sf_dir)
+    fl = statements_flagged(spark, sf_dir, st)
     cols = [f"{PARTY} AS Party_Id",
             f"CASE WHEN {PARTY} % 3 = 0 THEN date_format({DATE}, 'yyyyMMdd') "
             f"WHEN {PARTY} % 3 = 1 THEN date_format({DATE}, 'yyyy-MM-dd') "
@@ -91,23 +105,23 @@ def statements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fl.selectExpr(*cols)
 
 
-def statements_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statements_closing(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Flagged statements keyed by a ``dd.MM.yyyy`` closing-date string."""
-    fl = statements_flagged(spark, sf_dir)
+    fl = statements_flagged(spark, sf_dir, st)
     return fl.select(PARTY, F.date_format(DATE, "dd.MM.yyyy").alias("close_date"), FLAG, *ACCOUNT_CODES)
 
 
-def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def spine(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """Keys of parties not divisible by 4: each statement's key and the next year end
     (a key without a statement where the party skipped or stopped filing)."""
-    st = statements(spark, sf_dir).where(F.col(PARTY) % 4 != 0)
+    st = (statements(spark, sf_dir) if st is None else st).where(F.col(PARTY) % 4 != 0)
     keys = st.selectExpr(PARTY, f"explode(array({DATE}, make_date(year({DATE}) + 1, 12, 31))) AS {DATE}")
     return keys.dropDuplicates(list(KEYS))
 
 
-def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def month_spine(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
     """(party_id, month_start text) for 1 January and 1 June after each statement."""
-    st = statements(spark, sf_dir).select(PARTY, (F.year(DATE) + 1).alias("y"))
+    st = (statements(spark, sf_dir) if st is None else st).select(PARTY, (F.year(DATE) + 1).alias("y"))
     months = F.array(F.make_date("y", F.lit(1), F.lit(1)).cast("string"),
                      F.make_date("y", F.lit(6), F.lit(1)).cast("string"))
     return st.select(PARTY, F.explode(months).alias("month_start"))
@@ -137,15 +151,15 @@ def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(pid % 5 == 0, F.lit(None)).otherwise(cnt).alias("n_orders"))
 
 
-def audit_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def audit_sides(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(model, source): two feature tables with overlapping keys and nulls.
 
     model = A_15 of every statement; source = A_17 of the flag-1 rows of
     parties not divisible by 5 (so some keys exist on one side only).
     """
-    st = statements(spark, sf_dir)
+    st = statements(spark, sf_dir) if st is None else st
     model = st.select(*KEYS, F.col("A_15").alias("feature_x"))
-    fl = statements_flagged(spark, sf_dir)
+    fl = statements_flagged(spark, sf_dir, st)
     source = (fl.where((F.col(FLAG) == 1) & (F.col(PARTY) % 5 != 0))
                 .select(*KEYS, F.col("A_17").alias("raw_feature")))
     return model, source
