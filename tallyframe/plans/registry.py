@@ -1,8 +1,11 @@
 """Registered queries: one per operator family, each over the whole derived tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  Inputs are
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame.  Inputs are
 derived from the test tables by :mod:`tallyframe.sources.fixtures`, so every
-query's work grows with the data.
+query's work grows with the data.  Queries that read the derived statements
+in several branches derive them once and stage them as Parquet in the shared
+checkpoint folder (``fx.staged_statements``), as a job over a stored statement
+table would read that table.
 """
 
 from __future__ import annotations
@@ -60,7 +63,7 @@ def q_restrict_to_spine(spark, d):
 
 
 def q_year_grid(spark, d):
-    return panel.year_panel(fx.statements(spark, d))
+    return panel.year_panel(fx.staged_statements(spark, d))
 
 
 def q_pair_prev_flag(spark, d):
@@ -68,7 +71,7 @@ def q_pair_prev_flag(spark, d):
 
 
 def q_pair_prev_lag(spark, d):
-    return panel.pair_prev_lag(fx.statements(spark, d), _shifted(), list(ACCOUNT_CODES))
+    return panel.pair_prev_lag(fx.staged_statements(spark, d), _shifted(), list(ACCOUNT_CODES))
 
 
 def q_normalize_multiply(spark, d):
@@ -99,7 +102,7 @@ def q_custom_flag(spark, d):
 
 
 def q_custom_lag(spark, d):
-    paired = panel.pair_prev_lag(fx.statements(spark, d), _shifted(), list(ACCOUNT_CODES))
+    paired = panel.pair_prev_lag(fx.staged_statements(spark, d), _shifted(), list(ACCOUNT_CODES))
     return features.custom_features(paired, _cat())
 
 
@@ -163,11 +166,11 @@ def q_features_long(spark, d):
 
 
 def q_panel_features(spark, d):
-    return pipelines.panel_job(fx.statements(spark, d), _cat())
+    return pipelines.panel_job(fx.staged_statements(spark, d), _cat())
 
 
 def q_stage_panel(spark, d):
-    staged = sinks.stage_panel(panel.year_panel(fx.statements(spark, d)))
+    staged = sinks.stage_panel(panel.year_panel(fx.staged_statements(spark, d)))
     return staged.select(*KEYS, "A_1", "P_3", "G_60")
 
 
