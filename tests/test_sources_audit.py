@@ -122,3 +122,18 @@ def test_bucketed_features_join_without_shuffle(spark):
         assert joined.count() == 400 * 8
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_config_job_missing_rate_and_spine(spark):
+    from tallyframe.catalog import ConfigFeature
+    from tallyframe.plans.pipelines import config_job
+    feats = [ConfigFeature("n", numerator=("A_1",)), ConfigFeature("r", numerator=("A_1",), denominator=("P_3",))]
+    st = spark.createDataFrame([(1, "31.12.2019", 0, 10.0, 5.0), (2, "31.12.2020", 0, 10.0, 5.0)],
+                               "party_id long, close_date string, prev_financial_indicator int, A_1 double, P_3 double")
+    spine = spark.createDataFrame([(1, dt.date(2019, 12, 31)), (2, dt.date(2020, 12, 31)), (3, dt.date(2020, 12, 31))],
+                                  "party_id long, data_date date")
+    idx = spark.createDataFrame([(201911, 2.0)], "year_month int, inflation_rate double")   # no rate for 2020-11
+    out = {r.party_id: r for r in config_job(spine, st, feats, idx).collect()}
+    assert (out[1].n, out[1].r) == (20.0, 2.0)          # both scaled by the previous month's rate
+    assert (out[2].n, out[2].r) == (0.0, None)          # missing rate -> null amounts -> 0 / null
+    assert (out[3].n, out[3].r) == (None, None)         # spine key without a statement
