@@ -10,7 +10,7 @@ stacked projections and no shuffle:
 2. keys + the requested features in catalogue order; ratios refer to the
    aggregate columns of step 1 by name.
 
-Catalyst keeps the two projections apart because the aggregate expressions
+Catalyst keeps the aggregate and feature projections apart because the aggregate expressions
 are referenced by several ratios (``CollapseProject`` does not duplicate
 non-trivial expressions), so each sum is evaluated once per row.
 """
