@@ -11,13 +11,15 @@ but for a chance of (1 - 0.75^5)^64 = 3e-8, more similar ones sooner.
 2. Classes that share a band key and agree in size and in a sketch of 512 bits
    (a bound that a linked pair misses about once in 10^7) with another have their
    shingles made again and written, nobody else's.
-3. Every class is compared, set by set, with the smallest of each of its
-   buckets; links make components.
+3. Every class is compared, set by set, with one class of each of its buckets;
+   links make components.  ``STARS`` times, classes outside the main component
+   of a bucket are compared with another member of that.
 4. In buckets that still hold several components, classes outside the bucket's
-   main component are compared with all classes of other components.  Pairs
-   inside one component need no look: they change nothing.  So no link between
-   different texts is lost, and a large group of near copies costs a few
-   comparisons for each member, not all its pairs.
+   main component are compared with all classes of other components whose fine
+   sketch (4096 bits, made for these classes alone) agrees.  Pairs inside one
+   component need no look: they change nothing.  So no link between different
+   texts is lost, and a large group of near copies costs a few comparisons for
+   each member, not all its pairs.
 
 Hot buckets are pre-aggregated (least member, counts by component) before they
 are shuffled, and met by joins that adaptive execution splits.
@@ -39,8 +41,9 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import LOWER, UPPER, Scratch, connected_components, ship
 
 SHINGLE, SIMILARITY = 5, 75
-PERMUTATIONS, BANDS, ROWS = 160, 64, 5
+PERMUTATIONS, BANDS, ROWS, STARS = 160, 64, 5, 1
 SKETCH_WORDS, SKETCH_AGREE = 8, 400
+FINE_PERMUTATIONS, FINE_AGREE = 1024, 3440
 #: Bytes of text shingled at once.
 PIECE = 1 << 20
 
@@ -53,6 +56,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _STEP = _RNG.integers(1, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _PERMUTE = _RNG.integers(1, 2**32, (PERMUTATIONS, 2), dtype=np.uint32) | np.array([1, 0], np.uint32)
+_FINE = _RNG.integers(1, 2**32, (FINE_PERMUTATIONS, 2), dtype=np.uint32) | np.array([1, 0], np.uint32)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,12 +107,12 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, n
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), np.cumsum([0, *map(len, sets)])
 
 
-def signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Minimum and maximum of every set under every permutation: sets x (2 PERMUTATIONS) of 32 bits."""
+def signatures(values: np.ndarray, first: np.ndarray, permute: np.ndarray = _PERMUTE) -> np.ndarray:
+    """Minimum and maximum of every set under every permutation: sets x twice the permutations, of 32 bits."""
     low = (values >> np.uint64(16)).astype(np.uint32)
-    out = np.empty((len(first) - 1, 2 * PERMUTATIONS), np.uint32)
+    out = np.empty((len(first) - 1, 2 * len(permute)), np.uint32)
     at = first[:-1].astype(np.int64)
-    for k, (a, b) in enumerate(_PERMUTE):
+    for k, (a, b) in enumerate(permute):
         v = low * a
         v ^= v >> np.uint32(15)
         v = v * np.uint32(0x2C1B3C6D) + b
@@ -125,11 +129,11 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.astype(np.int64)
 
 
-def sketches(sig: np.ndarray) -> np.ndarray:
-    """512 bits: of each signature value one hashed bit, of some a second."""
+def sketches(sig: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """64-bit words of hashed bits: one of each signature value, then a second as far as there is room."""
     mixed = mix(sig.astype(np.uint64) + _BASE)
-    bits = np.concatenate([mixed & np.uint64(1), (mixed >> np.uint64(32)) & np.uint64(1)], axis=1)[:, :64 * SKETCH_WORDS].astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+    bits = np.concatenate([(mixed & np.uint64(1)).astype(np.uint8), ((mixed >> np.uint64(32)) & np.uint64(1)).astype(np.uint8)], axis=1)
+    return np.packbits(bits[:, :64 * words], axis=1).view(np.int64)
 
 
 def text_pieces(ids, texts):
@@ -169,8 +173,9 @@ def _sign(batches):
 def _shingle(batches):
     for batch in batches:
         for ids, texts in text_pieces(batch["node"], batch["text"]):
-            values, first = shingle_sets(texts)
-            yield pd.DataFrame({"node": ids, "shingles": [values[a:b].astype(np.int64) for a, b in zip(first, first[1:])]})
+            values, first = shingle_sets(texts)  # none is empty
+            fine = sketches(signatures(values, first, _FINE), 4 * FINE_PERMUTATIONS // 64)
+            yield pd.DataFrame({"node": ids, "shingles": [values[a:b].astype(np.int64) for a, b in zip(first, first[1:])], "fine": list(fine)})
 
 
 def sizes_allow(a: Column, b: Column) -> Column:
@@ -194,6 +199,17 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(F.col("both") * 100 >= (F.size("sa") + F.size("sb") - F.col("both")) * SIMILARITY).select("a", "b"))
 
 
+def open_buckets(held: DataFrame, roots: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(minor, all) rows of the buckets that hold several components; minor ones are outside the bucket's
+    largest component, ``main``, of which ``hub`` is a member drawn by ``seed``."""
+    rows = held.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+    sized = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("a", "key", F.lit(seed)).alias("draw"), "a")).alias("hub"))
+    main = (sized.groupBy("key").agg(F.max(F.struct("m", "root", "hub")).alias("x"), F.count(F.lit(1)).alias("roots"))
+            .where("roots > 1").select("key", F.col("x.root").alias("main"), F.col("x.hub.a").alias("hub")))
+    every = rows.join(main, "key")
+    return every.where("root <> main"), every
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -216,7 +232,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # 2. buckets of several classes, and the classes that resemble another of their bucket
     banded = signs.select("node", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("least")).where("m > 1").select("key", "least")
+    hub = F.min(F.struct(F.xxhash64("key", "node").alias("draw"), "node"))  # one of the bucket, not the same in all
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m"), hub.alias("hub")).where("m > 1").select("key", F.col("hub.node").alias("least"))
     members = scratch.keep("members", banded.join(shared, "key"))
     traits = signs.drop("bands", "version")
     a = traits.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), *(F.col(f"s{k}").alias(f"x{k}") for k in range(SKETCH_WORDS)))
@@ -228,30 +245,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     close = scratch.keep("close", close)
     wanted = close.join(signs.select("node", "version"), "node")
     texts = rows.withColumnRenamed("doc_id", "node").join(wanted, ["node", "version"]).dropDuplicates(["node", "version"])
-    sets = scratch.keep("sets", texts.select("node", "text").mapInPandas(_shingle, f"node {id_type}, shingles array<long>"))
+    sets = scratch.keep("sets", texts.select("node", "text").mapInPandas(_shingle, f"node {id_type}, shingles array<long>, fine array<long>"))
 
-    # 3. each class against the smallest of its buckets
+    # 3. each class against one of each of its buckets; then, in buckets that hold several
+    # components, those outside the main one against another member of that
     pairs = members.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     pairs = pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
     links = scratch.keep("links-0", confirm(pairs, sets))
-    roots = scratch.keep("roots-0", connected_components(links, scratch, "first"))
-
-    # 4. what is left: classes outside their bucket's main component against the other components
-    held = detailed.join(close.withColumnRenamed("node", "a"), "a", "left_semi")
-    held = scratch.keep("held", held.join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a")))
-    sized = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    main = sized.groupBy("key").agg(F.max(F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("key", F.col("main.root").alias("main"))
-    open_rows = held.join(main, "key")
-    minor = open_rows.where("root <> main").drop("main")
-    rest = open_rows.select(*(F.col(c).alias(d) for c, d in zip([*a.columns, "root"], [*b.columns, "root_b"])), F.col("key").alias("key_b"), F.col("main").alias("main_b"))
+    roots = scratch.keep("roots-0", connected_components(links, scratch, "stars-0"))
+    held = scratch.keep("held", detailed.join(close.withColumnRenamed("node", "a"), "a", "left_semi"))
+    for k in range(1, STARS + 1):
+        minor, _ = open_buckets(held, roots, k)
+        pairs = minor.select("a", F.col("hub").alias("b"), "na", *(f"x{i}" for i in range(SKETCH_WORDS))).distinct()
+        new = scratch.keep(f"links-{k}", confirm(pairs.join(b, "b").where(alike).select("a", "b"), sets))
+        links = links.unionByName(new)
+        roots = scratch.keep(f"roots-{k}", connected_components(links, scratch, f"stars-{k}"))
+
+    # 4. what is left: classes outside their bucket's main component against the other components,
+    # in the first bucket that they share, if the fine sketches agree as well
+    _, rows_open = open_buckets(held, roots, 0)
+    fine = sets.select("node", "fine").join(signs.select("node", "bands"), "node").withColumnRenamed("node", "a")
+    rows_open = scratch.keep("open", rows_open.drop("hub")).join(fine, "a")
+    minor = rows_open.where("root <> main").drop("main")
+    rest = rows_open.select(*(F.col(c).alias(d) for c, d in zip([*a.columns, "root"], [*b.columns, "root_b"])), F.col("key").alias("key_b"),
+                            F.col("main").alias("main_b"), F.col("bands").alias("bands_b"), F.col("fine").alias("fine_b"))
     once = (F.col("root_b") == F.col("main_b")) | (F.col("a") < F.col("b"))
-    pairs = (minor.join(rest, (minor["key"] == rest["key_b"]) & (F.col("root") != F.col("root_b")) & once & alike)
+    first = F.get(F.array_intersect("bands", "bands_b"), F.lit(0)) == F.col("key")
+    differ = F.aggregate(F.zip_with("fine", "fine_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    pairs = (minor.join(rest, (minor["key"] == rest["key_b"]) & (F.col("root") != F.col("root_b")) & once & alike & first
+                        & (differ <= 4 * FINE_PERMUTATIONS - FINE_AGREE))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = scratch.keep("links-1", confirm(pairs, sets))
+    more = scratch.keep("links-last", confirm(pairs, sets))
 
     # components over documents: equal sets, and the linked classes
     found = scratch.keep("components", connected_components(equal.unionByName(links).unionByName(more), scratch, "last"))
-    scratch.drop("members", "detailed", "held", "sets", "signs")
+    scratch.drop("members", "detailed", "held", "open", "sets", "signs")
     out = one.select("doc_id", "n_shingles")
     out = out.join(found, out["doc_id"].eqNullSafe(found["node"]), "left").drop("node")
     return (out.withColumn("component_id", F.coalesce("root", "doc_id")).drop("root")
