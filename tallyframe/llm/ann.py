@@ -3,10 +3,10 @@
 On a bounded sample (``SAMPLE`` vectors, those with the smallest hashed ids) a
 neighbour graph is built and cut into balanced partitions: recursive bisection
 at the median of the graph's second eigenvector, improved by swaps of equal
-size.  A small classifier (one hidden layer) learns the partition from the
-vector.  Every row is indexed under its most probable partition; a query goes
-to its ``probes`` most probable ones, and to further ones until they hold k
-candidates.  What is found there is scored exactly and merged.
+size.  A small classifier (one hidden layer) learns from the vector in which
+partitions its neighbours are.  Every row is indexed under its most probable
+partition; a query goes to the most probable ones, a share ``probed`` of all,
+and to further ones until they hold k candidates.  What is found there is scored exactly and merged.
 
 A partition's rows are packed into blocks of at most ``BLOCK`` rows spread over
 lanes, so a partition with a third of all rows is many tasks of one size.  The
@@ -33,8 +33,9 @@ from pyspark.sql.window import Window
 from tallyframe.llm.common import Scratch, ship
 from tallyframe.llm.topk import best, usable
 
-SAMPLE, PARTITIONS, NEIGHBOURS, PROBES = 4096, 32, 12, 10
-BLOCK, QUERY_BLOCK, HIDDEN, STEPS, LEAST = 4096, 256, 96, 300, 64
+#: PROBED: share of the partitions a query goes to; vectors without clusters need this much for a recall over 0.9.
+SAMPLE, PARTITIONS, NEIGHBOURS, PROBED = 4096, 32, 12, 0.75
+BLOCK, QUERY_BLOCK, HIDDEN, STEPS, DECAY, LEAST = 4096, 256, 96, 200, 1e-3, 64
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -83,13 +84,13 @@ def bisect(nodes: np.ndarray, graph: list[np.ndarray], rng: np.random.Generator)
     return nodes[~side], nodes[side]
 
 
-def balanced_partitions(x: np.ndarray, parts: int, neighbours: int, seed: int = 7) -> np.ndarray:
-    """A partition per row, equal sizes but for one row; ``parts`` is a power of two."""
+def balanced_partitions(graph: list[np.ndarray], parts: int, seed: int = 7) -> np.ndarray:
+    """A partition per node, equal sizes but for one node; ``parts`` is a power of two."""
     rng = np.random.default_rng(seed)
-    graph, groups = neighbour_graph(x, neighbours), [np.arange(len(x))]
+    groups = [np.arange(len(graph))]
     while len(groups) < parts:
         groups = [half for g in groups for half in bisect(g, graph, rng)]
-    label = np.zeros(len(x), np.int64)
+    label = np.zeros(len(graph), np.int64)
     for k, g in enumerate(groups):
         label[g] = k
     return label
@@ -108,13 +109,12 @@ class Router:
         return np.maximum(unit(x) @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
 
-def train(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = HIDDEN, steps: int = STEPS, seed: int = 7) -> Router:
-    """Full-batch Adam on the cross entropy."""
+def train(x: np.ndarray, goal: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS, seed: int = 7) -> Router:
+    """Full-batch Adam with weight decay on the cross entropy to ``goal``, rows of probabilities."""
     rng = np.random.default_rng(seed)
-    dim = x.shape[1]
+    dim, parts = x.shape[1], goal.shape[1]
     p = [rng.standard_normal((dim, hidden)) * np.sqrt(2 / dim), np.zeros(hidden), rng.standard_normal((hidden, parts)) * np.sqrt(1 / hidden), np.zeros(parts)]
     m, s = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p]
-    goal = np.eye(parts)[label]
     for t in range(1, (steps if parts > 1 else 0) + 1):
         h = np.maximum(x @ p[0] + p[1], 0)
         z = h @ p[2] + p[3]
@@ -123,6 +123,7 @@ def train(x: np.ndarray, label: np.ndarray, parts: int, hidden: int = HIDDEN, st
         back = (d @ p[2].T) * (h > 0)
         grads = [x.T @ back, back.sum(0), h.T @ d, d.sum(0)]
         for k, g in enumerate(grads):
+            g = g + DECAY * p[k]
             m[k] = 0.9 * m[k] + 0.1 * g
             s[k] = 0.999 * s[k] + 0.001 * g * g
             p[k] = p[k] - 0.02 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
@@ -138,7 +139,11 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, partitions: int = PARTITIONS,
     parts = 1
     while parts * 2 <= min(partitions, len(x) // LEAST):
         parts *= 2
-    return train(x, balanced_partitions(x, parts, neighbours), parts)
+    graph = neighbour_graph(x, neighbours)
+    label = balanced_partitions(graph, parts)
+    # a vector's goal is where its neighbours are, as those are what its queries look for
+    goal = np.array([np.bincount(label[near], minlength=parts) / len(near) if len(near) else np.eye(parts)[label[i]] for i, near in enumerate(graph)])
+    return train(x, goal)
 
 
 def _pack(router_of, size: int, probes):
@@ -190,7 +195,7 @@ def _search(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, probes: int = PROBES, sample: int = SAMPLE,
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, probed: float = PROBED, sample: int = SAMPLE,
             partitions: int = PARTITIONS) -> DataFrame:
     """Both (id, vec): query_id, rank (from 1), vec_id, score (inner product in double precision) of what is found."""
     spark = vectors.sparkSession
@@ -208,6 +213,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, probes: int = PROBES
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     model = spark.sparkContext.broadcast((router.w1, router.b1, router.w2, router.b2))
     packed = "part int, block long, ids binary, vecs binary"
+    probes = max(1, round(probed * router.w2.shape[1]))
     cand = scratch.keep("index", rows.mapInPandas(_pack(model, BLOCK, None), packed))
     held = {r["part"]: (r["rows"], r["blocks"]) for r in cand.groupBy("part").agg(F.sum(F.length("ids") / 8).alias("rows"), F.count(F.lit(1)).alias("blocks")).collect()}
     have = {p: int(n) for p, (n, _) in held.items()}

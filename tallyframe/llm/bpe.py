@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from tallyframe.llm.common import ship
 
 #: Bounds of the memo of cuts and of the transducer's states; beyond them they start anew.
-MEMO_SIZE, MEMO_CHARS, MAX_STATES = 400_000, 48, 150_000
+MEMO_SIZE, MEMO_CHARS, MAX_STATES = 1_200_000, 48, 150_000
+PIECE_MEMO_SIZE = 200_000
 #: From so many bytes of a piece on, agreed tokens are emitted before it ends.
 SETTLE = 64
 
@@ -157,10 +158,20 @@ class Cuts:
     _open = re.compile(r" (?!\S)")
     _cuts = re.compile(r" (?=\S)")
 
-    def __init__(self, encode: Callable[[str], Iterable[int]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[str], Iterable[int]], spaced: np.ndarray | None = None):
+        """``spaced``: by id, whether a token begins with a space; with it, new cuts are encoded many at a time."""
+        self.encode, self.spaced = encode, spaced
         self.memo: dict[str, bytes] = {}
 
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes new cuts end to end; every token that begins with a space begins a cut, as they have no other space."""
+        new = [p for p in dict.fromkeys(parts) if p not in self.memo and 0 < len(p) <= MEMO_CHARS and " " not in p]
+        for k in range(0, len(new), 1000):
+            some = new[k:k + 1000]
+            ids = np.asarray(self.encode("".join(" " + p for p in some)), "<u4")
+            for p, own in zip(some, np.split(ids, np.flatnonzero(self.spaced[ids])[1:])):
+                self.memo[p] = own.tobytes()
+
     def _cut(self, cut: str) -> bytes:
         return np.asarray(self.encode(cut), "<u4").tobytes()
 
@@ -181,6 +192,8 @@ class Cuts:
             return b"".join(out)
         except KeyError:
             del out[1 if head else 0:]
+        if self.spaced is not None:
+            self._learn(rest)
         for part in rest:
             ids = memo.get(part)
             if ids is None:
@@ -258,7 +271,7 @@ class Codec:
             if ids is None:
                 ids = self.transducer.encode(piece.encode())
                 if len(piece) <= MEMO_CHARS:
-                    if len(memo) > MEMO_SIZE // 2:
+                    if len(memo) > PIECE_MEMO_SIZE:
                         memo.clear()
                     memo[piece] = ids
             out += ids

@@ -32,6 +32,7 @@ from tallyframe.llm.bpe import Cuts
 from tallyframe.llm.common import Scratch, ship
 
 CAPACITY, END, SALTS = 2048, 0, 64
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 
 _cuts: dict[str, Cuts] = {}
 
@@ -44,7 +45,10 @@ def tokenizer_cuts(path: str) -> Cuts:
 
         own = Tokenizer.from_file(path)
         own.encode_special_tokens = True
-        _cuts[path] = Cuts(lambda cut: own.encode(cut, add_special_tokens=False).ids)
+        vocabulary = own.get_vocab()
+        spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        _cuts[path] = Cuts(lambda cut: own.encode(cut, add_special_tokens=False).ids, spaced)
     return _cuts[path]
 
 
