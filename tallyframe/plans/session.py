@@ -12,6 +12,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key of the spine joins even where the pairing on the same keys then
+    # needs one more exchange; its partial aggregate has collapsed the key by that time.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a wide

@@ -31,7 +31,12 @@ def entry_module():
 
 
 def test_every_query_has_an_oracle(entry_module):
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    from oracle.queries import build
+    from tallyframe.plans.registry import QUERIES
+
+    assert set(QUERIES) == set(build())
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", FAST)
