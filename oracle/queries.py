@@ -117,8 +117,8 @@ def _deps(name: str) -> set[str]:
         a, s = cat["aggregates"][name]
         return set(a or []) | set(s or [])
     if name in cat["custom"]:
-        r, s = cat["custom"][name]
-        return set(r or []) | set(s or [])
+        cur, prev = custom_inputs(name)  # the formula's own inputs; last year's as columns
+        return set(cur) | {p + "_prev" for p in prev}
     out = set()
     for parent in cat["ratios"][name]:
         out |= _deps(parent) if (parent in cat["aggregates"] or parent in cat["ratios"]
@@ -126,30 +126,26 @@ def _deps(name: str) -> set[str]:
     return out
 
 
-def coverage_report_sql() -> str:
+def coverage_report_sql(paired: bool = True) -> str:
     cat = catalogue()
-    avail = sorted(MAPPED)
-    shift = [c for c in shifted_codes() if c in avail]
+    avail = sorted(MAPPED) if paired else CODES
+    shift = [c for c in shifted_codes() if c in avail] if paired else []
     kinds = {**{n: "aggregate" for n in cat["aggregates"]}, **{n: "ratio" for n in cat["ratios"]},
              **{n: "custom" for n in cat["custom"]}}
     counts, rows = [], []
     for i, n in enumerate(all_names()):
-        missing = sorted(_deps(n) - set(avail))
+        missing = sorted(_deps(n) - set(avail) - {c + "_prev" for c in shift})
         if missing:
             count = "cast(null as bigint)"
         else:
-            if n in cat["custom"]:
-                cur, prev = custom_inputs(n)
-                inputs = cur + [p + "_prev" for p in prev]
-            else:
-                inputs = sorted(_deps(n))
+            inputs = sorted(_deps(n))
             counts.append(f"count(*) filter (where {' and '.join(q(c) + ' is not null' for c in inputs)}) as c{i}")
             count = f"cnt.c{i}"
         rows.append(f"select {i + 1} as position, '{n}' as feature, '{kinds[n]}' as kind, "
                     f"'{'skipped' if missing else 'calculable'}' as status, "
                     f"'{','.join(missing)}' as missing_accounts, {count} as complete_rows from cnt")
-    return (with_fixtures("flagged")
-            + f", pm as ({_pair('flagged', avail, shift)})"
+    return (with_fixtures("flagged" if paired else "statements")
+            + (f", pm as ({_pair('flagged', avail, shift)})" if paired else ", pm as (select * from statements)")
             + f", cnt as (select {', '.join(counts)} from pm)\n"
             + "\nunion all\n".join(rows))
 
@@ -197,9 +193,9 @@ def build() -> dict[str, str]:
     out["custom_lag"] = with_fixtures("lagged") + features_sql("lagged", names_of("custom"))
     out["config_features"] = config_features_sql()
     out["attach_to_spine"] = (
-        with_fixtures("statements", "spine")
-        + f", lq as ({features_sql('statements', names_of('ratio', 'LQ_'))}) "
-        + "select s.party_id, s.data_date, " + ", ".join(f"lq.{q(n)}" for n in names_of("ratio", "LQ_"))
+        with_fixtures("paired", "spine")
+        + f", lq as ({features_sql('paired', all_feats)}) "
+        + "select s.party_id, s.data_date, " + ", ".join(f"lq.{q(n)}" for n in all_feats)
         + " from (select distinct party_id, data_date from spine) s left join lq "
           "on s.party_id = lq.party_id and s.data_date = lq.data_date")
     out["attach_prev_month_end"] = (
@@ -238,10 +234,82 @@ from j window w as (partition by party_id order by month_date rows between 12 pr
     out["features_long"] = (
         with_fixtures("statements")
         + f", lq as ({features_sql('statements', lq)}) "
-        + "select party_id, data_date, feature, value from (unpivot lq on "
-        + ", ".join(q(n) for n in lq) + " into name feature value value) u")
+        + "select party_id, data_date, feature, value from lq unpivot include nulls (value for feature in ("
+        + ", ".join(q(n) for n in lq) + ")) u")
     out["panel_features"] = with_fixtures("lagged") + features_sql("lagged", all_feats)
-    out["stage_panel"] = with_fixtures("panel") + 'select party_id, data_date, "A_1", "P_3", "G_60" from panel'
+    out["stage_panel"] = with_fixtures("panel") + "select * from panel"
+    out["coverage_report_unpaired"] = coverage_report_sql(paired=False)
+    out["null_audit_all"] = (
+        with_fixtures("statements", "flagged")
+        + ", src as (select * from flagged where prev_financial_indicator = 1 and party_id % 5 <> 0)"
+        + ", c as (select " + ", ".join(
+            f"count(*) filter (where m.{q(c)} is null) as m{i}, count(*) filter (where s.{q(c)} is null) as s{i}, "
+            f"count(*) filter (where m.{q(c)} is null and s.{q(c)} is null) as b{i}" for i, c in enumerate(CODES))
+        + " from statements m full outer join src s on m.party_id = s.party_id and m.data_date = s.data_date) "
+        + " union all ".join(f"select '{c}' as model_column, '{c}' as source_column, m{i} as model_nulls, "
+                             f"s{i} as source_nulls, b{i} as both_null from c" for i, c in enumerate(CODES)))
+    out["yearly_job"] = (
+        with_fixtures("statements", "inflation_m")
+        + ", w as (select * from statements where data_date between date '1997-01-15' and date '2001-03-31' "
+          "and month(data_date) = 12)"
+        + f", nm as ({_normalized('w', CODES, 'divide')})"
+        + ", g as (select party_id, make_date(cast(y as int), 12, 31) as data_date from "
+          "(select distinct party_id from w) p, (select unnest(generate_series(1997, 2000)) as y) b)"
+        + ", pn as (select g.party_id, g.data_date, " + ", ".join(f"nm.{q(c)}" for c in CODES)
+        + " from g left join nm on g.party_id = nm.party_id and g.data_date = nm.data_date)"
+        + ", lg as (select *, " + ", ".join(
+            f"lag({q(c)}) over (partition by party_id order by data_date) as {q(c + '_prev')}" for c in shift)
+        + " from pn) " + features_sql("lg", all_feats))
+    out["write_table"] = out["agg_features"]
+    # Dirty inputs: duplicates, null and malformed keys, bad rates.
+    out["pair_prev_flag_dirty"] = (
+        with_fixtures("flagged")
+        + """, d as (
+  select party_id, case when party_id % 7 = 0 then null else data_date end as data_date, prev_financial_indicator, "A_1", "P_3" from flagged
+  union all
+  select party_id, data_date, prev_financial_indicator, "A_1" + 1, "P_3" from flagged where party_id % 5 = 0),
+o as (select *, row_number() over (partition by party_id, data_date, prev_financial_indicator
+        order by "A_1" desc nulls last, "P_3" desc nulls last) as r1,
+      row_number() over (partition by party_id, data_date, prev_financial_indicator order by "A_1" desc nulls last) as r2 from d)
+select c.party_id, c.data_date, c."A_1", c."P_3", p."A_1" as "A_1_prev"
+from (select * from o where r1 = 1 and prev_financial_indicator = 0) c
+left join (select * from o where r2 = 1 and prev_financial_indicator = 1) p
+  on c.party_id = p.party_id and c.data_date = p.data_date""")
+    out["forward_fill_dup"] = (
+        with_fixtures("sparse")
+        + """, d0 as (select * from sparse
+  union all select party_id, cast(date_trunc('month', data_date) as date), amount_cents + 100, n_orders from sparse where party_id % 3 = 0
+  union all select null, data_date, amount_cents, n_orders from sparse where party_id % 11 = 0),
+d as (select party_id, cast(date_trunc('month', data_date) as date) as month_date,
+             max(amount_cents) as amount_cents, max(n_orders) as n_orders from d0 group by 1, 2),
+g as (select party_id, cast(unnest(generate_series(min(month_date), max(month_date) + interval 12 month,
+             interval 1 month)) as date) as month_date from d group by party_id),
+j as (select g.party_id, g.month_date, amount_cents, n_orders from g
+      left join d on g.party_id = d.party_id and g.month_date = d.month_date)
+select party_id, month_date as data_date,
+       last_value(amount_cents ignore nulls) over w as amount_cents,
+       last_value(n_orders ignore nulls) over w as n_orders
+from j window w as (partition by party_id order by month_date rows between 12 preceding and current row)""")
+    out["map_columns_dirty"] = (
+        with_fixtures("raw_st")
+        + """, rd as (select * replace (
+   case when "Party_Id" % 10 = 3 then "Party_Id" || 'x' when "Party_Id" % 10 = 4 then null else "Party_Id"::varchar end as "Party_Id",
+   case when "Party_Id" % 4 = 1 then 'bad' else "DATA_DATE" end as "DATA_DATE",
+   case when "Party_Id" % 9 = 2 then 'n/a' else "Prev_Financial_Indicator"::varchar end as "Prev_Financial_Indicator") from raw_st) """
+        + _mapped_select().replace("cast(\"Party_Id\"", "try_cast(\"Party_Id\"").replace(
+            "cast(\"Prev_Financial_Indicator\"", "try_cast(\"Prev_Financial_Indicator\"").replace("from raw_st", "from rd"))
+    dirty_index = (", inflation_d as (select year_month, case when year_month % 7 = 0 then null else inflation_rate end "
+                   "as inflation_rate from inflation_m)")
+    out["normalize_divide_dirty"] = (with_fixtures("statements", "inflation_m") + dirty_index + " "
+                                     + _normalized("statements", CODES, "divide").replace("join inflation_m", "join inflation_d"))
+    out["attach_prev_month_end_dirty"] = (
+        with_fixtures("statements", "month_spine")
+        + """, md as (select case when party_id % 10 = 3 then party_id || 'x'
+   when party_id % 10 = 4 then '1234567890' || lpad(party_id::varchar, 7, '0') else party_id::varchar end as party_id, month_start from month_spine) """
+        + "select m.party_id, m.month_start, cast(cast(m.month_start as date) - 1 as date) as prev_month_end, "
+        + ", ".join(f"s.{q(c)}" for c in CODES)
+        + " from md m left join statements s on try_cast(m.party_id as decimal(16,0)) = "
+          "cast(s.party_id as decimal(16,0)) and s.data_date = cast(m.month_start as date) - 1")
     out["read_statements"] = (
         with_fixtures("flagged")
         + "select party_id, data_date, prev_financial_indicator, "

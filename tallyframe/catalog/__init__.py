@@ -24,6 +24,8 @@ from pathlib import Path
 
 import yaml
 
+from tallyframe.operators.formulas import formula_inputs, registered_formulas
+
 HERE = Path(__file__).resolve().parent
 DEFAULT_CATALOGUE = HERE / "catalogue.yml"
 EXAMPLE_RATIO_CONFIG = HERE / "ratio_config.yml"
@@ -61,6 +63,10 @@ class Custom:
     shifted: tuple[str, ...] = ()
     kind: str = field(default="custom", init=False)
 
+    def inputs(self) -> tuple[list[str], list[str]]:
+        """(this year's, last year's) accounts its formula reads; the declared ones while none is registered."""
+        return formula_inputs(self.name) if self.name in registered_formulas() else (list(self.required), list(self.shifted))
+
 
 @dataclass(frozen=True)
 class ConfigFeature:
@@ -190,17 +196,30 @@ class Catalog:
         if isinstance(f, Aggregate):
             return set(f.added) | set(f.subtracted)
         if isinstance(f, Custom):
-            return set(f.required) | set(f.shifted)
+            current, previous = f.inputs()
+            return set(current) | set(previous)
         deps: set[str] = set()
         for parent in self.parents(name):
             deps |= self.raw_dependencies(parent) if parent in self else {parent}
         return deps
 
+    def current_dependencies(self, name: str) -> set[str]:
+        """Accounts a feature reads for the current year."""
+        f = self[name]
+        if isinstance(f, Aggregate):
+            return set(f.added) | set(f.subtracted)
+        if isinstance(f, Custom):
+            return set(f.inputs()[0])
+        out: set[str] = set()
+        for parent in self.parents(name):
+            out |= self.current_dependencies(parent) if parent in self else {parent}
+        return out
+
     def shifted_dependencies(self, name: str) -> set[str]:
         """Accounts a feature also reads for the previous year."""
         f = self[name]
         if isinstance(f, Custom):
-            return set(f.shifted)
+            return set(f.inputs()[1])
         out: set[str] = set()
         for parent in self.parents(name):
             if parent in self:

@@ -7,7 +7,6 @@ whole-stage code generation; none of them is a Python UDF.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,16 +26,6 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def coalesce0(c: str | Column) -> Column:
-    """``coalesce(c, 0.0)``: a missing account counts as zero in sums."""
-    return F.coalesce(as_col(c), F.lit(0.0))
-
-
-def plain_sum(cols: Sequence[str | Column]) -> Column:
-    """Left-to-right ``a + b + c`` that keeps nulls (custom formulas)."""
-    return reduce(lambda a, b: a + b, [as_col(c) for c in cols])
-
-
 def signed_sum(added: Sequence[str], subtracted: Sequence[str] = ()) -> Column:
     """``sum(added) - sum(subtracted)`` over account columns, null read as 0; never null.
 
@@ -47,12 +36,6 @@ def signed_sum(added: Sequence[str], subtracted: Sequence[str] = ()) -> Column:
     return F.expr(sqltext.signed_sum(list(added), list(subtracted)).text)
 
 
-def safe_div(num: str | Column, den: str | Column) -> Column:
-    """``num / den``, null when ``den`` is null or zero (no ANSI error)."""
-    den = as_col(den)
-    return F.when(den.isNull() | (den == 0), null_double()).otherwise(as_col(num) / den)
-
-
 def parse_date_any(c: str | Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
     """First layout that parses wins; unparseable text gives null, not an error."""
     c = as_col(c)

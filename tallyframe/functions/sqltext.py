@@ -49,8 +49,9 @@ class Sql:
         a, b = (_lit(other), self.text) if reverse else (self.text, _lit(other))
         return Sql(f"({a} {op} {b})")
 
-    def __add__(self, o): return self._bin("+", o)
-    def __radd__(self, o): return self._bin("+", o, True)
+    # Sums keep their written order (see ordered_add).
+    def __add__(self, o): return ordered_add(self, Sql(_lit(o)))
+    def __radd__(self, o): return ordered_add(Sql(_lit(o)), self)
     def __sub__(self, o): return self._bin("-", o)
     def __rsub__(self, o): return self._bin("-", o, True)
     def __mul__(self, o): return self._bin("*", o)
@@ -111,7 +112,7 @@ def safe_div(num: Sql, den: Sql) -> Sql:
 
 def missing_as_null(name: str) -> str:
     """Account column as double with NaN read as missing (null), as pandas-written inputs need."""
-    return f"nanvl(CAST({ident(name)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {ident(name)}"
+    return f"nanvl(TRY_CAST({ident(name)} AS DOUBLE), CAST(NULL AS DOUBLE)) AS {ident(name)}"
 
 
 def alias(expr: Sql | str, name: str) -> str:

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.catalog import Catalog, Custom
+from tallyframe.catalog import Catalog
 from tallyframe.functions.scalar import month_bounds
-from tallyframe.functions.sqltext import ident
+from tallyframe.functions.sqltext import ident, missing_as_null
 from tallyframe.operators.features import available_features
-from tallyframe.operators.formulas import formula_inputs, prev_name
+from tallyframe.operators.formulas import prev_name
 from tallyframe.sources.schema import DATE, KEYS
 
 
@@ -27,7 +27,7 @@ def filter_month(df: DataFrame, month: str, col: str = DATE) -> DataFrame:
     return df.where((d >= F.lit(lo).cast("date")) & (d < F.lit(hi).cast("date")))
 
 
-def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, str]],
+def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, str]] | None = None,
                keys: Sequence[str] = KEYS) -> DataFrame:
     """Null counts of a full outer join of ``model`` and ``source`` on ``keys``, per column pair.
 
@@ -39,8 +39,10 @@ def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, s
     its per-side row and null counts.  A key duplicated on both sides costs
     one aggregate row, not the product of its duplicates.  Rows with a null
     key match nothing and count on their own, as in the join.  Each input is
-    read once.
+    read once.  Without ``pairs`` every non-key column that both have is audited.
     """
+    if pairs is None:
+        pairs = [(c, c) for c in model.columns if c not in keys and c in source.columns]
     n = len(pairs)
     zero = F.lit(0).cast("bigint")
 
@@ -84,36 +86,32 @@ def null_audit(model: DataFrame, source: DataFrame, pairs: Sequence[tuple[str, s
     return totals.select(F.explode(F.array(*rows_out)).alias("r")).select("r.*")
 
 
-def _input_columns(catalog: Catalog, name: str, columns: set[str]) -> list[str]:
-    """Columns a feature reads on a frame with these columns (``_prev`` ones when present)."""
-    if isinstance(catalog[name], Custom):
-        cur, prev = formula_inputs(name)
-        cols = list(cur) + [prev_name(p) if prev_name(p) in columns else p for p in prev]
-        return list(dict.fromkeys(cols))
-    return sorted(catalog.raw_dependencies(name))
+def _input_columns(catalog: Catalog, name: str) -> list[str]:
+    """Columns a feature reads."""
+    return sorted(catalog.current_dependencies(name)) + sorted(prev_name(p) for p in catalog.shifted_dependencies(name))
 
 
 def coverage_report(df: DataFrame, catalog: Catalog | None = None,
                     names: Sequence[str] | None = None) -> DataFrame:
     """One row per feature: kind, calculable or skipped, missing accounts, and how many
-    rows of ``df`` have all of the feature's inputs non-null.
+    rows of ``df`` have all of the feature's inputs (neither null nor NaN).
 
-    Availability is decided from the schema alone (no job); the row counts are
+    Availability is decided from the schema alone (no job), by the rule of
+    ``compute_features(skip_unavailable=True)``; the row counts are
     one aggregate pass over ``df`` computing every feature's count at once.
     """
     catalog = catalog or Catalog.default()
     names = catalog.names if names is None else list(names)
-    calculable, skipped = available_features(catalog, df.columns, names, need_prev=False)
+    calculable, skipped = available_features(catalog, df.columns, names)
     ok = set(calculable)
-    cols = set(df.columns)
     counts = []
     for i, n in enumerate(names):
         if n in ok:
-            inputs = _input_columns(catalog, n, cols)
-            cond = " AND ".join(f"{ident(c)} IS NOT NULL" for c in inputs) or "true"
+            cond = " AND ".join(f"{ident(c)} IS NOT NULL" for c in _input_columns(catalog, n)) or "true"
             counts.append(f"count_if({cond}) AS c{i}")
     # One global aggregate: a select of aggregate expressions.
-    totals = df.selectExpr(*counts) if counts else df.sparkSession.range(1)
+    read = sorted({c for n in calculable for c in _input_columns(catalog, n)})
+    totals = df.selectExpr(*[missing_as_null(c) for c in read]).selectExpr(*counts) if counts else df.sparkSession.range(1)
     entries = []
     for i, n in enumerate(names):
         f = catalog[n]

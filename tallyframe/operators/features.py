@@ -7,8 +7,10 @@ stacked projections and no shuffle:
 0. keys + the account columns read, as doubles with NaN read as missing;
 1. keys + every aggregate the requested features need (each computed once),
    plus the raw columns custom formulas and raw ratio parents read;
-2. keys + the requested features in catalogue order; ratios refer to the
-   aggregate columns of step 1 by name.
+2. the numerators and denominators of custom formulas, each computed once;
+3. keys + the requested features in catalogue order; ratios refer to the
+   aggregate columns of step 1 by name, ratios of ratios (one more projection
+   per level) to those of the level below.
 
 Catalyst keeps the aggregate and feature projections apart because the aggregate expressions
 are referenced by several ratios (``CollapseProject`` does not duplicate
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.catalog import (
@@ -27,7 +29,7 @@ from tallyframe.catalog import (
 )
 from tallyframe.functions import sqltext
 from tallyframe.functions.sqltext import Sql, alias, ident
-from tallyframe.operators.formulas import formula_inputs, formula_sql, prev_name
+from tallyframe.operators.formulas import formula_inputs, formula_parts, prev_name
 
 KEYS = ("party_id", "data_date")
 
@@ -36,16 +38,18 @@ def available_features(catalog: Catalog, columns: Iterable[str], names: Iterable
                        need_prev: bool = True) -> tuple[list[str], dict[str, list[str]]]:
     """Split ``names`` into (calculable, skipped -> sorted missing inputs).
 
-    A feature is calculable when every account it reads is a column; when
-    ``need_prev`` is set, a feature reading last year's figures also needs the
-    ``<code>_prev`` columns.
+    A feature is calculable when every account it reads is a column: last year's
+    figures as ``<code>_prev`` columns, or, without ``need_prev``, as accounts of
+    a frame that is still to be paired.
     """
     cols = set(columns)
     calculable, skipped = [], {}
     for n in (catalog.names if names is None else list(names)):
-        missing = {d for d in catalog.raw_dependencies(n) if d not in cols}
         if need_prev:
-            missing |= {prev_name(d) for d in catalog.shifted_dependencies(n) if prev_name(d) not in cols}
+            needed = catalog.current_dependencies(n) | {prev_name(d) for d in catalog.shifted_dependencies(n)}
+        else:
+            needed = catalog.raw_dependencies(n)
+        missing = needed - cols
         if missing:
             skipped[n] = sorted(missing)
         else:
@@ -57,10 +61,6 @@ def aggregate_sql(f: Aggregate) -> Sql:
     return sqltext.signed_sum(list(f.added), list(f.subtracted))
 
 
-def aggregate_expr(f: Aggregate) -> Column:
-    return F.expr(aggregate_sql(f).text)
-
-
 def compute_features(df: DataFrame, catalog: Catalog | None = None, names: Sequence[str] | None = None,
                      keys: Sequence[str] = KEYS, carry: Sequence[str] = (),
                      skip_unavailable: bool = False) -> DataFrame:
@@ -101,16 +101,49 @@ def compute_features(df: DataFrame, catalog: Catalog | None = None, names: Seque
     stage1 = stage0.selectExpr(*[ident(c) for c in (*fixed, *raw_cols)],
                                *[alias(aggregate_sql(f), f.name) for f in aggregates])
 
-    def expr(name: str) -> Sql:
-        if name not in catalog or name in agg_names:
-            return sqltext.col(name)
+    # Numerators and denominators of custom formulas are columns of their own, evaluated once a row.
+    customs = [f.name for f in catalog.subset(closure) if isinstance(f, Custom)]
+    have = [*fixed, *raw_cols, *(f.name for f in aggregates)]
+    frame, quotient = stage1, {}
+    if customs:
+        halves = []
+        for n in customs:
+            num, den = formula_parts(n)
+            quotient[n] = (f"__num_{n}", f"__den_{n}")
+            halves += [alias(num, quotient[n][0]), alias(den, quotient[n][1])]
+        frame = frame.selectExpr(*[ident(c) for c in have], *halves)
+        have += [c for pair in quotient.values() for c in pair]
+
+    def expr(name: str) -> str:
+        if name not in level or not level[name]:
+            return ident(name)
         f = catalog[name]
-        if isinstance(f, Ratio):
-            return sqltext.safe_div(expr(f.numerator), expr(f.denominator))
-        return formula_sql(f.name)
+        num, den = (f.numerator, f.denominator) if isinstance(f, Ratio) else quotient[name]
+        return f"CAST({sqltext.safe_div(sqltext.col(num), sqltext.col(den)).text} AS DOUBLE)"
+
+    # A ratio of ratios reads its parents by name, one projection a level.
+    level = _levels(catalog, closure)
+    top = max(level.values(), default=0)
+    for k in range(1, top):
+        made = [n for n in closure if level[n] == k]
+        frame = frame.selectExpr(*[ident(c) for c in have], *[alias(expr(n), n) for n in made])
+        have += made
+    return frame.selectExpr(*[ident(c) for c in fixed],
+                            *[alias(f"CAST({ident(n)} AS DOUBLE)" if level[n] < top else expr(n), n) for n in names])
+
 
-    return stage1.selectExpr(*[ident(c) for c in fixed],
-                             *[alias(f"CAST({expr(n).text} AS DOUBLE)", n) for n in names])
+def _levels(catalog: Catalog, names: Sequence[str]) -> dict[str, int]:
+    """0 for aggregates, 1 for quotients of columns, one more than the highest parent for ratios of ratios."""
+    out: dict[str, int] = {}
+
+    def of(n: str) -> int:
+        if n not in catalog or isinstance(catalog[n], Aggregate):
+            return 0
+        if n not in out:
+            out[n] = 1 + max((of(p) for p in catalog.parents(n)), default=0)
+        return out[n]
+
+    return {n: of(n) for n in names}
 
 
 def aggregate_features(df: DataFrame, catalog: Catalog | None = None, **kw) -> DataFrame:
@@ -158,9 +191,12 @@ def config_features(df: DataFrame, features: Sequence[ConfigFeature], keys: Sequ
                             *[alias(config_feature_sql(f), f.name) for f in features])
 
 
-def features_long(features: DataFrame, keys: Sequence[str] = KEYS, drop_nulls: bool = True,
+def features_long(features: DataFrame, keys: Sequence[str] = KEYS, drop_nulls: bool = False,
                   name_col: str = "feature", value_col: str = "value") -> DataFrame:
-    """Wide feature table -> (keys, feature, value); multiplies rows by the feature count."""
+    """Wide feature table -> (keys, feature, value); multiplies rows by the feature count.
+
+    Null features keep their rows, so the wide table can be had back; ``drop_nulls`` leaves them out.
+    """
     value_cols = [c for c in features.columns if c not in keys]
     out = features.unpivot(list(keys), value_cols, name_col, value_col)
     return out.where(F.col(value_col).isNotNull()) if drop_nulls else out

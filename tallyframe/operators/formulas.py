@@ -56,10 +56,14 @@ def prev_name(code: str) -> str:
 def formula_sql(name: str, cur: Callable[[str], Sql] | None = None,
                 prev: Callable[[str], Sql] | None = None) -> Sql:
     """Expression text of custom ratio ``name`` over columns ``code`` / ``code_prev``."""
-    cur = cur or sqltext.col
-    prev = prev or (lambda code: sqltext.col(prev_name(code)))
-    num, den = formula(name)(cur, prev)
-    return sqltext.safe_div(num, den)
+    return sqltext.safe_div(*formula_parts(name, cur, prev))
+
+
+def formula_parts(name: str, cur: Callable[[str], Sql] | None = None,
+                  prev: Callable[[str], Sql] | None = None) -> tuple[Sql, Sql]:
+    """(numerator, denominator) of custom ratio ``name``; plain numbers become literals."""
+    num, den = formula(name)(cur or sqltext.col, prev or (lambda code: sqltext.col(prev_name(code))))
+    return tuple(x if isinstance(x, Sql) else Sql(f"{float(x)!r}D") for x in (num, den))
 
 
 def formula_column(name: str) -> Column:

@@ -8,9 +8,9 @@ Shuffle budget (each ``Exchange`` in the physical plan):
   merge of grid and statements (exchange on (party, date), partial aggregate),
   ``lag`` window (exchange on party).  After the merge a party has exactly one
   row per year end, so window groups are bounded by the number of years;
-* :func:`forward_fill` - per-party bounds (partial aggregate) and one window
-  exchange on (party, block of months); each block carries a 12-month halo of
-  the previous block's observations, so no window group exceeds a block.
+* :func:`forward_fill` - one row per (party, month) (partial aggregate), then one
+  exchange on party that serves the month steps and the blocked fill windows;
+  each block carries a 12-month halo of the previous block's observations.
 """
 
 from __future__ import annotations
@@ -42,14 +42,16 @@ def pair_prev(df: DataFrame, shift_cols: Sequence[str], cur_cols: Sequence[str]
 
     One grouped aggregation replaces two de-duplications and a self join.  When
     a key holds several rows of the same flag the row with the largest values
-    (struct order, field by field) is kept, so the pick is deterministic.
+    (struct order, field by field) is kept, so the pick is deterministic.  A null
+    key matches nothing: such rows keep one row per key with null ``_prev`` values.
     """
     cur_cols = [c for c in df.columns if c not in (*keys, flag_col)] if cur_cols is None else cur_cols
     cur_cols, shift_cols = _values(cur_cols), _values(shift_cols)
     flag = ident(flag_col)
+    known = " AND ".join(f"{ident(k)} IS NOT NULL" for k in keys)
     aggs = [F.expr(f"max(CASE WHEN {flag} = 0 THEN {struct_of(cur_cols)} END)").alias(_CUR)]
     if shift_cols:
-        aggs.append(F.expr(f"max(CASE WHEN {flag} = 1 THEN {struct_of(shift_cols)} END)").alias(_PREV))
+        aggs.append(F.expr(f"max(CASE WHEN {flag} = 1 AND {known} THEN {struct_of(shift_cols)} END)").alias(_PREV))
     paired = (df.where(F.col(flag_col).isin(0, 1)).groupBy(*keys).agg(*aggs)
                 .where(F.col(_CUR).isNotNull()))
     out = [ident(k) for k in keys] + [f"{_CUR}.{ident(c)} AS {ident(c)}" for c in cur_cols]
@@ -104,7 +106,7 @@ def year_panel(df: DataFrame, value_cols: Sequence[str] | None = None, keys: Seq
     bounds = bounds or date_bounds(df, date)
     grid = year_grid(df, keys, bounds).select(party, date, F.lit(None).cast(_struct_type(df, value_cols)).alias(_CUR))
     d = F.col(date)
-    dec = (df.where((F.month(d) == 12) & (F.dayofmonth(d) == 31))
+    dec = (df.where(F.col(party).isNotNull() & (F.month(d) == 12) & (F.dayofmonth(d) == 31))
              .selectExpr(ident(party), ident(date), f"{struct_of(value_cols)} AS {_CUR}"))
     merged = grid.unionByName(dec).groupBy(party, date).agg(F.max(_CUR).alias(_CUR))
     return merged.selectExpr(ident(party), ident(date), *[f"{_CUR}.{ident(c)} AS {ident(c)}" for c in value_cols])
@@ -144,39 +146,38 @@ def forward_fill(df: DataFrame, keys: Sequence[str] = KEYS, value_cols: Sequence
     The grid runs from the party's first month to its last month + ``extend``;
     a value observed in month m fills months m..m+``months`` unless a newer
     non-null value exists.  The frame is counted in calendar months
-    (``RANGE BETWEEN months PRECEDING``), so it stays right across gaps.  The
-    input is expected to hold at most one row per party and month (the grid is
-    one row per month).
-
-    Plan: per-party bounds (hash aggregate with map-side partial), then one
-    window exchange on (party, block of ``block_months`` months).  Each block
-    also receives the observations of the last ``months`` months of the block
-    before it, so every frame is complete inside its block; a party with a long
-    history is spread over many tasks instead of one, and no window group holds
-    more than ``block_months + months`` months of rows.
+    (``RANGE BETWEEN months PRECEDING``), so it stays right across gaps.
+
+    Several rows of one party and month count as one with each column's largest
+    non-null value, whatever their order.  A null party matches nothing: its
+    grid is there, without values.  Rows without a date take no part.
+
+    Plan: duplicates collapse in a grouped aggregate on (party, month) with a
+    map-side partial, which reads the input once; then one exchange on party,
+    whose rows are bounded by the calendar.  Each observed month generates the
+    grid up to the next one.  The fill's windows are (party, block of
+    ``block_months`` months), which that exchange already satisfies; a block also
+    receives the last ``months`` months of observations of the block before it,
+    so every frame is complete inside its block and no window group holds more
+    than ``block_months + months`` months of rows.
     """
     party, date = keys
     value_cols = [c for c in df.columns if c not in keys] if value_cols is None else list(value_cols)
     B = max(int(block_months), int(months))
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    obs = df.select(party, month_index(F.col(date)).alias("__m"), *value_cols)
-    bounds = obs.groupBy(party).agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
-    grid = (bounds.selectExpr(ident(party), "__lo", "__hi",
-                              f"explode(sequence(CAST(floor(__lo / {B}) AS INT), "
-                              f"CAST(floor((__hi + {int(extend)}) / {B}) AS INT))) AS __b")
-                  .selectExpr(ident(party), "__b",
-                              f"explode(sequence(greatest(__lo, __b * {B}), "
-                              f"least(__hi + {int(extend)}, __b * {B} + {B - 1}))) AS __m")
-                  .selectExpr(ident(party), "__b", "__m", "true AS __grid",
-                              *[f"CAST(NULL AS {types[c]}) AS {ident(c)}" for c in value_cols]))
-    halo = (f"explode(CASE WHEN __m % {B} >= {B - int(months)} "
-            f"THEN array(CAST(floor(__m / {B}) AS INT), CAST(floor(__m / {B}) AS INT) + 1) "
-            f"ELSE array(CAST(floor(__m / {B}) AS INT)) END) AS __b")
-    seen = obs.selectExpr(ident(party), halo, "__m", "false AS __grid", *[ident(c) for c in value_cols])
+    by_month = df.where(F.col(date).isNotNull()).groupBy(party, month_index(F.col(date)).alias("__seen"))
+    obs = by_month.agg(F.count(F.lit(1)).alias("__n"), *[F.max(F.col(ident(c))).alias(c) for c in value_cols])
+    steps = obs.selectExpr("*", f"lead(__seen) OVER (PARTITION BY {ident(party)} ORDER BY __seen) AS __next")
+    grid = (steps.selectExpr("*", f"explode(sequence(__seen, coalesce(__next - 1, __seen + {int(extend)}))) AS __m")
+                 .selectExpr(ident(party), "__m", "__m = __seen AS __observed",
+                             *[f"CASE WHEN __m = __seen AND {ident(party)} IS NOT NULL THEN {ident(c)} END AS {ident(c)}"
+                               for c in value_cols]))
+    own = f"CAST(floor(__m / {B}) AS INT)"
+    halo = (f"explode(CASE WHEN __observed AND pmod(__m, {B}) >= {B - int(months)} THEN array({own}, {own} + 1) "
+            f"ELSE array({own}) END) AS __b")
+    blocks = grid.selectExpr("*", halo)
     w = (f"OVER (PARTITION BY {ident(party)}, __b ORDER BY __m "
          f"RANGE BETWEEN {int(months)} PRECEDING AND CURRENT ROW)")
-    filled = (grid.unionByName(seen)
-                  .selectExpr(ident(party), "__m", "__grid",
-                              *[f"last({ident(c)}, true) {w} AS {ident(c)}" for c in value_cols])
-                  .where("__grid"))
+    filled = (blocks.selectExpr(ident(party), "__m", f"__b = {own} AS __grid",
+                                *[f"last({ident(c)}, true) {w} AS {ident(c)}" for c in value_cols])
+                    .where("__grid"))
     return filled.select(party, month_from_index(F.col("__m")).alias(date), *value_cols)

@@ -10,7 +10,7 @@ table would read that table.
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,8 @@ from tallyframe.sources.schema import ACCOUNT_CODES, FLAG, KEYS, PARTY, PHYSICAL
 WINDOW_MIN, WINDOW_MAX = "1999-06-15", "2001-03-31"
 AUDIT_MONTH = "2000-12"
 SPARSE_MONTH = "1999-06"
+YEARLY_BOUNDS = (dt.date(1997, 1, 15), dt.date(2001, 3, 31))  # the window with its look-back of 29 months
+TABLE_BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,7 +117,8 @@ def q_config_features(spark, d):
 def q_attach_to_spine(spark, d):
     cat = _cat()
     base = fx.staged_statements(spark, d)
-    feats = features.ratio_features(base, cat, cat.family("LQ_"))
+    paired = panel.pair_prev(fx.statements_flagged(spark, d, base), _shifted(), list(ACCOUNT_CODES))
+    feats = features.compute_features(paired, cat)
     return spine.attach_to_spine(readers.read_spine(spark, fx.spine(spark, d, base)), feats)
 
 
@@ -170,8 +173,7 @@ def q_panel_features(spark, d):
 
 
 def q_stage_panel(spark, d):
-    staged = sinks.stage_panel(panel.year_panel(fx.staged_statements(spark, d)))
-    return staged.select(*KEYS, "A_1", "P_3", "G_60")
+    return sinks.stage_panel(panel.year_panel(fx.staged_statements(spark, d)))
 
 
 def q_read_statements(spark, d):
@@ -181,11 +183,59 @@ def q_read_statements(spark, d):
 
 def q_write_features(spark, d):
     """Aggregates written as ORC to the shared folder, read back."""
-    path = f"{sinks.shared_dir(spark)}/features-{uuid.uuid4().hex}"
+    path = f"{sinks.owned_dir(spark, 'features')}/orc"
     sinks.write_features(features.aggregate_features(fx.statements(spark, d), _cat()), path, fmt="orc")
     return spark.read.orc(path)
 
 
+def q_write_table(spark, d):
+    """Aggregates as a managed ORC table bucketed by party, read back."""
+    target = "tallyframe_features.aggregates"
+    sinks.write_features(features.aggregate_features(fx.statements(spark, d), _cat()), target, fmt="orc",
+                         bucket_by=[PARTY], num_buckets=TABLE_BUCKETS)
+    return spark.table(target)
+
+
+def q_null_audit_all(spark, d):
+    """Every account of the statements against the restated ones of parties not divisible by 5."""
+    base = fx.staged_statements(spark, d)
+    restated = fx.statements_flagged(spark, d, base).where((F.col(FLAG) == 1) & (F.col(PARTY) % 5 != 0))
+    return audit.null_audit(base, restated.drop(FLAG))
+
+
+def q_coverage_report_unpaired(spark, d):
+    """A frame without last year's columns: formulas that read them are skipped."""
+    return audit.coverage_report(fx.statements(spark, d), _cat())
+
+
+def q_yearly_job(spark, d):
+    """Window scan of a stored table -> inflation -> dense panel of the window -> lag -> 474 features."""
+    scan = readers.scan_statements_window(fx.staged_statements(spark, d), WINDOW_MIN, WINDOW_MAX)
+    return pipelines.panel_job(scan, _cat(), index=readers.read_index(spark, fx.inflation(spark, d)), bounds=YEARLY_BOUNDS)
+
+
+def q_pair_prev_flag_dirty(spark, d):
+    return panel.pair_prev(fx.flagged_dirty(spark, d), ["A_1"], ["A_1", "P_3"])
+
+
+def q_forward_fill_dup(spark, d):
+    return panel.forward_fill(fx.sparse_dirty(spark, d))
+
+
+def q_map_columns_dirty(spark, d):
+    return readers.map_columns(fx.raw_dirty(spark, d), ACCOUNT_CODES, fx.raw_mapping())
+
+
+def q_normalize_divide_dirty(spark, d):
+    return normalize.normalize_amounts(fx.statements(spark, d), fx.inflation_dirty(spark, d), ACCOUNT_CODES,
+                                       mode="divide")
+
+
+def q_attach_prev_month_end_dirty(spark, d):
+    base = fx.staged_statements(spark, d)
+    return spine.attach_prev_month_end(fx.month_spine_dirty(spark, d, base), base, party_type="decimal(16,0)")
+
+
 def q_flagship(spark, d):
     base = fx.staged_statements(spark, d)
     return pipelines.spine_job(fx.spine(spark, d, base), fx.statements_flagged(spark, d, base),
@@ -226,5 +276,14 @@ QUERIES: dict[str, Query] = {
     "stage_panel": q_stage_panel,
     "read_statements": q_read_statements,
     "write_features": q_write_features,
+    "write_table": q_write_table,
+    "null_audit_all": q_null_audit_all,
+    "coverage_report_unpaired": q_coverage_report_unpaired,
+    "yearly_job": q_yearly_job,
+    "pair_prev_flag_dirty": q_pair_prev_flag_dirty,
+    "forward_fill_dup": q_forward_fill_dup,
+    "map_columns_dirty": q_map_columns_dirty,
+    "normalize_divide_dirty": q_normalize_divide_dirty,
+    "attach_prev_month_end_dirty": q_attach_prev_month_end_dirty,
     "flagship": q_flagship,
 }

@@ -163,3 +163,45 @@ def audit_sides(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -
     source = (fl.where((F.col(FLAG) == 1) & (F.col(PARTY) % 5 != 0))
                 .select(*KEYS, F.col("A_17").alias("raw_feature")))
     return model, source
+
+
+# Dirty variants: repeated rows, null and malformed keys, bad rates and months.
+def flagged_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two accounts; parties divisible by 7 lose their dates, those divisible by 5 have each row twice (A_1 + 1)."""
+    fl = statements_flagged(spark, sf_dir).select(PARTY, DATE, FLAG, "A_1", "P_3")
+    undated = fl.withColumn(DATE, F.when(F.col(PARTY) % 7 != 0, F.col(DATE)))
+    return undated.unionByName(fl.where(F.col(PARTY) % 5 == 0).withColumn("A_1", F.col("A_1") + 1))
+
+
+def sparse_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second row a month (100 cents more) for parties divisible by 3; rows without party."""
+    sp = sparse(spark, sf_dir)
+    again = (sp.where(F.col(PARTY) % 3 == 0).withColumn(DATE, F.trunc(DATE, "month"))
+               .withColumn("amount_cents", F.col("amount_cents") + 100))
+    lost = sp.where(F.col(PARTY) % 11 == 0).withColumn(PARTY, F.lit(None).cast(sp.schema[PARTY].dataType))
+    return sp.unionByName(again).unionByName(lost)
+
+
+def raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table with text keys, some of them malformed or null."""
+    pid = F.col("Party_Id")
+    return statements_raw(spark, sf_dir).withColumns({
+        "Party_Id": F.when(pid % 10 == 3, F.concat(pid.cast("string"), F.lit("x"))).when(pid % 10 != 4, pid.cast("string")),
+        "DATA_DATE": F.when(pid % 4 == 1, "bad").otherwise(F.col("DATA_DATE")),
+        "Prev_Financial_Indicator": F.when(pid % 9 == 2, "n/a").otherwise(F.col("Prev_Financial_Indicator").cast("string"))})
+
+
+def inflation_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index with NaN rates and rows of months that do not exist."""
+    idx = inflation(spark, sf_dir)
+    nan = idx.withColumn("inflation_rate", F.when(F.col("year_month") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("inflation_rate")))
+    return nan.unionByName(idx.withColumn("year_month", F.col("year_month") * 100 + 77))
+
+
+def month_spine_dirty(spark: SparkSession, sf_dir: str, st: DataFrame | None = None) -> DataFrame:
+    """The month spine with text parties, some malformed, some of 17 digits."""
+    pid = F.col(PARTY)
+    return month_spine(spark, sf_dir, st).withColumn(
+        PARTY, F.when(pid % 10 == 3, F.concat(pid.cast("string"), F.lit("x")))
+                .when(pid % 10 == 4, F.concat(F.lit("1234567890"), F.lpad(pid.cast("string"), 7, "0")))
+                .otherwise(pid.cast("string")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_features(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -19,20 +20,24 @@ def write_features(df: DataFrame, target: str, fmt: str = "parquet", mode: str =
     attempts are safe because the file committer only publishes files of the
     successful attempt.
     """
+    if bucket_by and "/" in target:
+        raise ValueError("bucketing needs a table target")
+    n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:
+        df = df.repartition(n, *bucket_by)  # a task per bucket, so a file per bucket
+    elif partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])  # AQE splits a large partition value
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        if "/" in target:
-            raise ValueError("bucketing needs a table target")
-        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(n, bucket_by[0], *bucket_by[1:]).sortBy(bucket_by[0], *bucket_by[1:])
     if "/" in target:
         writer.save(target)
         return
     if "." in target:
-        db = target.split(".", 1)[0]
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        space = ".".join(f"`{part}`" for part in target.split(".")[:-1])  # database, or catalog and database
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {space}")
     writer.saveAsTable(target)
 
 
@@ -45,15 +50,25 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def owned_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the shared one that is removed when the session's JVM ends."""
+    where = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return where
+
+
 def stage_panel(df: DataFrame, path: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet once and read it back (optionally only ``columns``).
 
     Cuts the lineage: later jobs start from the written files, so a lost
     executor never recomputes the upstream joins.  Without ``path`` the files
-    go to a fresh folder under the shared checkpoint directory.
+    go to a fresh folder under the shared checkpoint directory, which goes with the session.
     """
     spark = df.sparkSession
-    path = path or f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    path = path or owned_dir(spark, "staged")
     df.write.mode("overwrite").parquet(path)
     staged = spark.read.parquet(path)
     return staged.select(*columns) if columns else staged

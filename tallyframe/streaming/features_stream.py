@@ -8,14 +8,13 @@ DataFrame, so ``foreachBatch`` runs the same plan as the batch job
 
 Each batch is written to its own ``batch_id=<n>`` folder with overwrite, so a
 batch replayed after a failure replaces its own output instead of appending
-twice; the stream's checkpoint (in the shared checkpoint folder unless given)
-records which files were processed.
+twice; the stream's checkpoint, a folder that every start of the job names alike,
+records which files were processed.  A key filed again in a later file stands in
+the later batch too: readers take the row with the largest ``batch_id``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -23,7 +22,6 @@ from pyspark.sql.types import StructType
 from tallyframe.catalog import Catalog
 from tallyframe.operators.features import available_features, compute_features
 from tallyframe.plans.pipelines import paired_statements
-from tallyframe.sources.sinks import shared_dir
 
 
 def batch_features(batch: DataFrame, catalog: Catalog, index: DataFrame | None = None) -> DataFrame:
@@ -33,12 +31,11 @@ def batch_features(batch: DataFrame, catalog: Catalog, index: DataFrame | None =
 
 
 def start_feature_stream(spark: SparkSession, source_dir: str, schema: StructType, sink_dir: str,
-                         catalog: Catalog | None = None, index: DataFrame | None = None,
-                         checkpoint: str | None = None, available_now: bool = True,
+                         checkpoint: str, catalog: Catalog | None = None, index: DataFrame | None = None,
+                         available_now: bool = True,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental job; returns the running query (``awaitTermination()`` to wait)."""
     catalog = catalog or Catalog.default()
-    checkpoint = checkpoint or f"{shared_dir(spark)}/feature-stream-{uuid.uuid4().hex}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -11,7 +11,8 @@ from tools.check_oracle import TABLES, digest
 FAST = ["pair_prev_flag", "pair_prev_lag", "year_grid", "agg_features", "ratio_lq", "custom_flag",
         "custom_lag", "normalize_multiply", "normalize_divide", "config_features", "forward_fill",
         "null_audit", "coverage_report", "map_columns", "restrict_to_spine", "attach_prev_month_end",
-        "flagship"]
+        "flagship", "pair_prev_flag_dirty", "forward_fill_dup", "map_columns_dirty", "normalize_divide_dirty",
+        "attach_prev_month_end_dirty", "coverage_report_unpaired", "null_audit_all", "yearly_job", "write_table"]
 
 
 @pytest.fixture(scope="module")

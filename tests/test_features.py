@@ -134,7 +134,33 @@ def test_config_features(spark):
 def test_features_long(spark, cat):
     wide = compute_features(frame(spark, [{"A_1": 2.0, "P_3": 4.0}]), cat, ["LQ_01", "EF_03"])  # EF_03: G_62 is 0
     long = {r.feature: r.value for r in features_long(wide).collect()}
-    assert long == {"LQ_01": 0.5}
+    assert long == {"LQ_01": 0.5, "EF_03": None}
+    assert {r.feature for r in features_long(wide, drop_nulls=True).collect()} == {"LQ_01"}
+
+
+def test_ratio_chain_plans_by_level(spark):
+    from tallyframe.catalog import Catalog, Ratio
+    chain = [Ratio("R0", "A", "B")] + [Ratio(f"R{i}", "A", f"R{i - 1}") for i in range(1, 11)]
+    df = spark.createDataFrame([(1, 8.0, 2.0), (2, 8.0, 0.0)], "party_id long, A double, B double")
+    out = compute_features(df, Catalog(chain), keys=["party_id"]).orderBy("party_id").collect()
+    assert out[0]["R0"] == 4.0 and out[0]["R1"] == 2.0 and out[0]["R10"] == 4.0
+    assert all(out[1][f.name] is None for f in chain)
+
+
+def test_formula_inputs_need_no_declaration(spark):
+    from tallyframe.catalog import Catalog, Custom
+    from tallyframe.operators import formulas
+    formulas.register_formula("X_ONE", lambda c, p: (c("A") + c("B") + c("C"), p("D")))
+    formulas.register_formula("X_TWO", lambda c, p: (c("C") + c("B") + c("A"), p("D")))
+    try:
+        cat = Catalog([Custom("X_ONE", ()), Custom("X_TWO", ())])
+        assert cat.accounts() == ["A", "B", "C", "D"] and cat.shifted_accounts() == ["D"]
+        df = spark.createDataFrame([(1, 0.1, 0.2, 0.3, 1.0)], "party_id long, A double, B double, C double, D_prev double")
+        row = compute_features(df, cat, keys=["party_id"], skip_unavailable=True).first()
+        assert row.X_ONE == 0.1 + 0.2 + 0.3 and row.X_TWO == 0.3 + 0.2 + 0.1
+        assert compute_features(df.drop("D_prev"), cat, keys=["party_id"], skip_unavailable=True).columns == ["party_id"]
+    finally:
+        formulas._REGISTRY.pop("X_ONE"), formulas._REGISTRY.pop("X_TWO")
 
 
 def test_no_nan_in_output(spark, cat):

@@ -86,3 +86,18 @@ def test_forward_fill_blocks_do_not_change_result(spark):
     a = sorted(map(tuple, small.collect()))
     b = sorted(map(tuple, large.collect()))
     assert a == b and len(a) > 0
+
+
+def test_duplicates_and_null_keys_do_not_depend_on_order(spark):
+    rows = [(1, d(2020, 1, 5), 1.0, None), (1, d(2020, 1, 9), 2.0, 3.0), (None, d(2020, 1, 9), 4.0, 4.0),
+            (1, None, 9.0, 9.0)]
+    fills = [sorted(map(tuple, forward_fill(stmts(spark, r)).collect()), key=str) for r in (rows, rows[::-1])]
+    assert fills[0] == fills[1]
+    by_party = {p: {r[2:] for r in fills[0] if r[0] == p} for p in (1, None)}
+    assert by_party == {1: {(2.0, 3.0)}, None: {(None, None)}}
+
+
+def test_pair_prev_null_key_matches_nothing(spark):
+    df = spark.createDataFrame([(1, None, 0, 10.0), (1, None, 1, 5.0)],
+                               "party_id long, data_date date, prev_financial_indicator int, A double")
+    assert [tuple(r) for r in pair_prev(df, ["A"], ["A"]).collect()] == [(1, None, 10.0, None)]

@@ -137,3 +137,31 @@ def test_config_job_missing_rate_and_spine(spark):
     assert (out[1].n, out[1].r) == (20.0, 2.0)          # both scaled by the previous month's rate
     assert (out[2].n, out[2].r) == (0.0, None)          # missing rate -> null amounts -> 0 / null
     assert (out[3].n, out[3].r) == (None, None)         # spine key without a statement
+
+
+def test_bucketed_table_has_a_file_per_bucket(spark):
+    df = spark.range(0, 2000, 1, 16).selectExpr("id AS party_id", "CAST(id AS DOUBLE) AS v")
+    write_features(df, "tallytest.bucketed", bucket_by=["party_id"], num_buckets=4)
+    assert len(spark.table("tallytest.bucketed").inputFiles()) <= 4
+    assert spark.table("tallytest.bucketed").count() == 2000
+
+
+def test_partitioned_write(spark, scratch_dir):
+    path = os.path.join(scratch_dir, "parts")
+    df = spark.range(0, 100, 1, 8).selectExpr("id", "id % 3 AS y")
+    write_features(df, path, partition_by=["y"])
+    back = spark.read.parquet(path)
+    assert back.count() == 100 and len(back.inputFiles()) == 3
+
+
+def test_index_of_unreal_months_and_nan_rates(spark):
+    from tallyframe.operators.normalize import monthly_index, normalize_amounts
+    idx = spark.createDataFrame([(201912, float("nan")), (201913, 2.0), (99, 2.0), (None, 2.0), (201911, 4.0)],
+                                "year_month int, inflation_rate double")
+    assert {r[0] for r in monthly_index(idx).collect()} == {201912, 201911}
+    df = spark.createDataFrame([(1, dt.date(2019, 12, 31), 8.0), (1, dt.date(2019, 11, 30), 8.0)],
+                               "party_id long, data_date date, A double")
+    kept = {r.data_date.month: r.A for r in normalize_amounts(df, idx, ["A"]).collect()}
+    assert kept == {12: 8.0, 11: 2.0}
+    base = {r.data_date.month: r.A for r in normalize_amounts(df, idx, ["A"], base_month=201911).collect()}
+    assert base == {12: 8.0, 11: 8.0}  # no rate in December: unscaled
