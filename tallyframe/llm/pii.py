@@ -13,8 +13,8 @@ name e, one that leaves at most ``generalise_bits`` is replaced by its shape
 (``[NUMBER]``, ``[NAME]``, ``[TERM]``); both need ``min_support`` documents, as
 a ratio of one or two documents tells nothing.
 
-One pass over the texts writes a small row per document (base spans, context
-terms with all their places) and partial document frequencies, flushed at a
+One pass over the texts writes a small row per document (base spans, entities
+with their context terms, and each such term once with all its places) and partial document frequencies, flushed at a
 bounded size; joins and counts then run without texts.  Both n(t, e) and n(t)
 are pre-aggregated, so a hot entity or word is no hot group.
 
@@ -43,7 +43,8 @@ FLUSH = 200_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: A match ends with its last run of digits, so matches start where a run starts: long runs are read once.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\w+")
@@ -144,7 +145,7 @@ def places(text: str, terms: set[str], covered: Covered) -> dict[str, list[int]]
 
 
 def _scan(window: int):
-    columns = ["doc_id", "version", *KINDS, "base", "entities", "terms", "at", "term", "df", "kind"]
+    columns = ["doc_id", "version", *KINDS, "base", "entities", "terms", "at_terms", "at", "term", "df", "kind"]
 
     def scan(batches):
         seen: Counter[str] = Counter()
@@ -163,11 +164,12 @@ def _scan(window: int):
                 covered = Covered(spans)
                 near = list(context(text, spans, covered, window))
                 at = places(text, {t for _, t in near}, covered) if near else {}
-                near = [(e, t) for e, t in near if at[t]]
+                at = {t: x for t, x in at.items() if x}
+                near = [(e, t) for e, t in near if t in at]
                 base = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
                 rows.append((doc_id, version, *(counts[k] for k in range(4)), base, [e for e, _ in near],
-                             [t for _, t in near], [at[t] for _, t in near], None, None, "doc"))
-                seen.update(set(_WORD.findall(text.lower())))
+                             [t for _, t in near], list(at), list(at.values()), None, None, "doc"))
+                seen.update({w.lower() for w in set(_WORD.findall(text))})
                 if len(seen) > FLUSH:
                     yield from flush()
             yield pd.DataFrame(rows, columns=columns, dtype=object)
@@ -192,15 +194,14 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
     scratch = Scratch(spark, "pii")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, version long, " + ", ".join(f"{k} long" for k in KINDS) + ", base string, "
-              "entities array<string>, terms array<string>, at array<array<int>>, term string, df long, kind string")
+              "entities array<string>, terms array<string>, at_terms array<string>, at array<array<int>>, term string, df long, kind string")
     rows = scratch.keep("scan", docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
                         .mapInPandas(_scan(window), schema), ("kind",))
     found = rows.where("kind = 'doc'")
     total = found.agg(F.count(F.lit(1))).first()[0]
     near = (found.where("size(entities) > 0")
-            .select("doc_id", "version", F.explode(F.arrays_zip("entities", "terms", "at")).alias("x"))
-            .select("doc_id", "version", F.col("x.entities").alias("entity"), F.col("x.terms").alias("term"),
-                    F.col("x.at").alias("at")))
+            .select("doc_id", "version", F.explode(F.arrays_zip("entities", "terms")).alias("x"))
+            .select("doc_id", "version", F.col("x.entities").alias("entity"), F.col("x.terms").alias("term")))
     n_entity = (found.where("size(entities) > 0").select(F.explode(F.array_distinct("entities")).alias("entity"))
                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
     n_both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_support)
@@ -211,16 +212,23 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
                   .where(F.col("bits") <= max(remove_bits, generalise_bits))
                   .select("entity", "term", F.when(F.col("bits") <= remove_bits, "removed").otherwise("generalised").alias("verdict")))
     hits = (near.join(scratch.keep("disclosing", disclosing), ["entity", "term"])
-            .groupBy("doc_id", "version", "term", "at").agg(F.max("verdict").alias("verdict"))
+            .groupBy("doc_id", "version", "term").agg(F.max("verdict").alias("verdict"))
             .groupBy(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"))
-            .agg(F.collect_list(F.struct("verdict", "at")).alias("hits")))
-    span = lambda x: F.transform(F.sequence(F.lit(0), (F.size(x["at"]) / 2).cast("int") - 1),
-                                 lambda k: F.struct(F.get(x["at"], 2 * k).alias("s"), x["verdict"].alias("v"), F.get(x["at"], 2 * k + 1).alias("e")))
-    added = F.array_sort(F.flatten(F.transform("hits", span)))
-    text = F.array_join(F.transform(added, lambda x: F.concat_ws(":", x["v"], x["s"].cast("string"), x["e"].cast("string"))), ",")
+            .agg(F.collect_list(F.struct("term", "verdict")).alias("hits")))
+    known = F.col("hits").isNotNull()
+    added = F.pandas_udf(_added, "string")(*(F.when(known, F.col(c)) for c in ("at_terms", "at", "hits.term", "hits.verdict")))
     return (found.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left")
-            .select("doc_id", "version", *(F.col(k).alias(f"n_{k}") for k in KINDS), "base",
-                    F.coalesce(text, F.lit("")).alias("added")))
+            .select("doc_id", "version", *(F.col(k).alias(f"n_{k}") for k in KINDS), "base", added.alias("added")))
+
+
+def _added(terms: pd.Series, at: pd.Series, hits: pd.Series, verdicts: pd.Series) -> pd.Series:
+    """``verdict:start:end`` of every place of the terms that got one, by start."""
+    out = []
+    for t, a, h, v in zip(terms, at, hits, verdicts):
+        verdict = dict(zip(h, v)) if h is not None else {}
+        spans = sorted((s, e, verdict[x]) for x, xs in zip(t, a) if x in verdict for s, e in zip(xs[::2], xs[1::2])) if verdict else []
+        out.append(",".join(f"{v}:{s}:{e}" for s, e, v in spans))
+    return pd.Series(out, dtype=object)
 
 
 def all_spans(base: str, added: str) -> str:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallyframe.llm import ann, bpe, chat, langid, line_dedup, minhash, packing, pii, registry, topk, warc
@@ -91,6 +92,20 @@ def test_pii_disclosing_terms(spark, empty, dirty):
     assert pii.redact("ab cd", "generalised:0:2") == "[TERM] cd" and pii.redact(None, "") is None
 
 
+def test_pii_long_text_of_many_entities(spark):
+    """A term near thousands of entities is held once with its places; long runs of digits are read once."""
+    text = " ".join(f"Contact u{i}@mail.example.org" for i in range(4000))
+    hidden = "\u0130zmir k@only.example.org"
+    made = spark.createDataFrame([(1, text), (1, text), *((i, hidden) for i in range(2, 6)), *((i, "plain") for i in range(6, 60))],
+                                 "doc_id long, text string")
+    found = pii.find(made).collect()
+    assert [r["n_email"] for r in found if r["doc_id"] == 1] == [4000, 4000]
+    assert {r["added"] for r in found if 2 <= r["doc_id"] < 6} == {"removed:0:5"}
+    scanned = list(pii._scan(pii.WINDOW)([pd.DataFrame({"doc_id": [1], "text": [text], "version": [0]})]))[0]
+    assert [len(x) for x in scanned["at"][0]] == [8000] and scanned["at_terms"][0] == ["contact"]
+    assert pii.base_spans("1" * 300_000 + " 1.2.3.4") == [(300_001, 1, 300_008)]
+
+
 # op2
 
 def brute_lines(data, least):
