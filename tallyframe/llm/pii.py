@@ -40,6 +40,8 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, MIN_SUPPORT, REMOVE_BITS, GENERALISE_BITS = 6, 3, 1.0, 2.0
 #: Document frequencies of one task are handed on when so many terms are held.
 FLUSH = 200_000
+#: Rows handed on at once, documents and terms.
+ROWS, TERMS = 256, 20_000
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -151,9 +153,10 @@ def _scan(window: int):
         seen: Counter[str] = Counter()
 
         def flush():
-            if seen:
-                yield pd.DataFrame([(None,) * (len(columns) - 3) + (t, n, "term") for t, n in seen.items()], columns=columns, dtype=object)
-                seen.clear()
+            terms = list(seen.items())
+            seen.clear()
+            for k in range(0, len(terms), TERMS):
+                yield pd.DataFrame([(None,) * (len(columns) - 3) + (t, n, "term") for t, n in terms[k:k + TERMS]], columns=columns, dtype=object)
 
         for batch in batches:
             rows = []
@@ -170,6 +173,9 @@ def _scan(window: int):
                 rows.append((doc_id, version, *(counts[k] for k in range(4)), base, [e for e, _ in near],
                              [t for _, t in near], list(at), list(at.values()), None, None, "doc"))
                 seen.update({w.lower() for w in set(_WORD.findall(text))})
+                if len(rows) == ROWS:
+                    yield pd.DataFrame(rows, columns=columns, dtype=object)
+                    rows = []
                 if len(seen) > FLUSH:
                     yield from flush()
             yield pd.DataFrame(rows, columns=columns, dtype=object)
@@ -184,10 +190,11 @@ def shape(term: str) -> str:
 
 def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT, remove_bits: float = REMOVE_BITS,
          generalise_bits: float = GENERALISE_BITS) -> DataFrame:
-    """A row per row of ``docs`` (doc_id, text): doc_id, version, n_<kind>, base, added.
+    """A row per row of ``docs`` (doc_id, text): doc_id, version, n_<kind>, base, added, spans.
 
     ``version`` is xxhash64 of the text; ``base`` and ``added`` hold
-    ``kind:start:end``, comma-joined by start; added kinds are ``removed`` and ``generalised``.
+    ``kind:start:end``, comma-joined by start; added kinds are ``removed`` and ``generalised``;
+    ``spans`` holds both.  One Python function makes both at the end, so a task has one worker.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -216,19 +223,22 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
             .groupBy(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"))
             .agg(F.collect_list(F.struct("term", "verdict")).alias("hits")))
     known = F.col("hits").isNotNull()
-    added = F.pandas_udf(_added, "string")(*(F.when(known, F.col(c)) for c in ("at_terms", "at", "hits.term", "hits.verdict")))
+    args = ("base", *(F.when(known, F.col(c)) for c in ("at_terms", "at", "hits.term", "hits.verdict")))
+    counts = [F.col(k).alias(f"n_{k}") for k in KINDS]
     return (found.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("version") == F.col("hit_version")), "left")
-            .select("doc_id", "version", *(F.col(k).alias(f"n_{k}") for k in KINDS), "base", added.alias("added")))
+            .select("doc_id", "version", *counts, "base", F.pandas_udf(_added, "added string, spans string")(*args).alias("x"))
+            .select("doc_id", "version", *(f"n_{k}" for k in KINDS), "base", "x.added", "x.spans"))
 
 
-def _added(terms: pd.Series, at: pd.Series, hits: pd.Series, verdicts: pd.Series) -> pd.Series:
-    """``verdict:start:end`` of every place of the terms that got one, by start."""
+def _added(base: pd.Series, terms: pd.Series, at: pd.Series, hits: pd.Series, verdicts: pd.Series) -> pd.DataFrame:
+    """``verdict:start:end`` of every place of the terms that got one, by start; and these with the base spans."""
     out = []
-    for t, a, h, v in zip(terms, at, hits, verdicts):
+    for b, t, a, h, v in zip(base, terms, at, hits, verdicts):
         verdict = dict(zip(h, v)) if h is not None else {}
         spans = sorted((s, e, verdict[x]) for x, xs in zip(t, a) if x in verdict for s, e in zip(xs[::2], xs[1::2])) if verdict else []
-        out.append(",".join(f"{v}:{s}:{e}" for s, e, v in spans))
-    return pd.Series(out, dtype=object)
+        added = ",".join(f"{v}:{s}:{e}" for s, e, v in spans)
+        out.append((added, all_spans(b, added)))
+    return pd.DataFrame(out, columns=["added", "spans"], dtype=object)
 
 
 def all_spans(base: str, added: str) -> str:
@@ -258,18 +268,14 @@ def redact(text: str | None, spans: str) -> str | None:
 def sanitise(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with ``text`` sanitised and ``pii_spans`` added; all rows and other columns stay."""
     found = find(docs, **options).withColumnRenamed("doc_id", "pii_id").withColumnRenamed("version", "pii_version")
-    found = found.where("base <> '' or added <> ''").select("pii_id", "pii_version", "base", "added").dropDuplicates(["pii_id", "pii_version"])
-
-    @F.pandas_udf("string")
-    def join_spans(base: pd.Series, added: pd.Series) -> pd.Series:
-        return pd.Series([all_spans(b, a) for b, a in zip(base, added)], dtype=object)
+    spans = free_name(docs, "pii_spans")
+    found = found.select("pii_id", "pii_version", F.col("spans").alias(spans)).where(F.col(spans) != "").dropDuplicates(["pii_id", "pii_version"])
+    found = Scratch(docs.sparkSession, "pii-spans").keep("spans", found)  # a stage of its own: one Python worker a task
 
     @F.pandas_udf("string")
     def clean(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([redact(t, s) for t, s in zip(text, spans)], dtype=object)
 
-    spans = free_name(docs, "pii_spans")
-    found = found.select("pii_id", "pii_version", join_spans("base", "added").alias(spans))
     rows = docs.join(found, docs["doc_id"].eqNullSafe(found["pii_id"]) & (F.xxhash64(docs["text"]) == found["pii_version"]), "left")
     columns = [F.when(F.col(spans).isNotNull(), clean(docs["text"], F.col(spans))).otherwise(docs["text"]).alias("text")
                if c == "text" else docs[c] for c in docs.columns]
