@@ -1,22 +1,27 @@
 """Personal data: exact detection of four kinds, then information-theoretic sanitisation of what gives them away.
 
-Base spans come from fixed patterns over the whole text.  Around every base
-span the words of a window are its context terms.  Over the corpus, the number
-n(t, e) of documents that have term t in a window of entity value e, the
-document frequencies n(t), n(e) and the number N of documents give
+Base spans come from fixed patterns over the whole text.  The words of a window
+around every base span nominate terms t for its entity value e.  Over the
+corpus, the number n(t, e) of documents that name e and have t anywhere outside
+base spans, the document frequencies n(t) (outside base spans too) and n(e) and
+the number N of documents give
 
     PMI(t; e) = log2(n(t, e) N / (n(t) n(e)))      IC(e) = -log2(n(e) / N)
 
 IC(e) - PMI(t; e) is what stays unknown of e, in bits, to one who reads t.  A
-term that leaves at most ``remove_bits`` is removed from the documents that
-name e, one that leaves at most ``generalise_bits`` is replaced by its shape
-(``[NUMBER]``, ``[NAME]``, ``[TERM]``); both need ``min_support`` documents, as
-a ratio of one or two documents tells nothing.
-
-One pass over the texts writes a small row per document (base spans, entities
-with their context terms, and each such term once with all its places) and partial document frequencies, flushed at a
-bounded size; joins and counts then run without texts.  Both n(t, e) and n(t)
-are pre-aggregated, so a hot entity or word is no hot group.
+nominated term that leaves at most ``remove_bits`` of some entity is removed,
+one that leaves at most ``generalise_bits`` is replaced by its shape
+(``[NUMBER]``, ``[NAME]``, ``[TERM]``), at every place outside base spans in all
+documents; both need ``min_support`` documents, as a ratio of one or two
+documents tells nothing.
+
+Three passes over the texts.  The first counts terms, entities and nominated
+pairs; pairs that n(t) and n(e) alone rule out go.  The second counts n(t, e) of
+the pairs left, the third writes a small row per document (base spans, and each
+disclosing term once with all its places).  What a pass looks for is broadcast
+as a bitmap of fixed size that may name too much and never too little; exact
+joins settle the rest.  Counts are handed on in sums of bounded size, so a hot
+entity or word is no hot group.
 
 Defined results: a null or empty text has no spans; texts are read whole;
 repeated rows count as documents of their own in the statistics, rows of the
@@ -27,19 +32,23 @@ gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.common import Scratch, free_name, ship
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, MIN_SUPPORT, REMOVE_BITS, GENERALISE_BITS = 6, 3, 1.0, 2.0
-#: Document frequencies of one task are handed on when so many terms are held.
+#: Counts of one task are handed on when so many terms, entities and pairs are held.
 FLUSH = 200_000
+#: Size of the bitmaps, and of the blocks they are made of.
+BITS, BLOCK = 1 << 26, 1 << 15
 #: Rows handed on at once, documents and terms.
 ROWS, TERMS = 256, 20_000
 
@@ -146,18 +155,102 @@ def places(text: str, terms: set[str], covered: Covered) -> dict[str, list[int]]
     return out
 
 
-def _scan(window: int):
-    columns = ["doc_id", "version", *KINDS, "base", "entities", "terms", "at_terms", "at", "term", "df", "kind"]
+def words(text: str, covered: Covered) -> set[str]:
+    """The lower-cased words outside the base spans."""
+    if not covered.starts:
+        return {w.lower() for w in set(_WORD.findall(text))}
+    return {m[0].lower() for m in _WORD.finditer(text) if not covered.touches(*m.span())}
 
-    def scan(batches):
-        seen: Counter[str] = Counter()
 
-        def flush():
-            terms = list(seen.items())
-            seen.clear()
-            for k in range(0, len(terms), TERMS):
-                yield pd.DataFrame([(None,) * (len(columns) - 3) + (t, n, "term") for t, n in terms[k:k + TERMS]], columns=columns, dtype=object)
+def pair_key(who: str, term: str) -> str:
+    return f"{who}\0{term}"
+
+
+def marks(spark: SparkSession, keys: DataFrame):
+    """Broadcast bitmap with the bit of every ``key``, by its crc32."""
+    at = F.crc32(F.col("key").cast("binary")) % BITS
+    blocks = (keys.select(F.floor(at / BLOCK).alias("block"), (at % BLOCK).alias("bit")).distinct().repartition("block")
+              .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    out = bytearray(BITS // 8)
+    for r in blocks.toLocalIterator():
+        out[r["block"] * (BLOCK // 8):(r["block"] + 1) * (BLOCK // 8)] = r["bits"]
+    return spark.sparkContext.broadcast(bytes(out))
+
+
+def marked(bits: bytes, key: str, before: int = 0) -> bool:
+    """Whether the bit of ``key`` is set; ``before`` is the crc32 of what stands before it."""
+    at = zlib.crc32(key.encode(), before) % BITS
+    return bits[at >> 3] >> (at & 7) & 1 == 1
+
 
+class Sums:
+    """Counts by (entity, term), handed on at a bounded size; an empty side stands for any."""
+
+    COLUMNS = ["entity", "term", "n", "kind"]
+    SCHEMA = "entity string, term string, n long, kind string"
+
+    def __init__(self):
+        self.seen: Counter[tuple[str, str]] = Counter()
+
+    def flush(self, least: int = 0):
+        if len(self.seen) <= least:
+            return
+        held = [(e, t, n, "pair" if e and t else "entity" if e else "term") for (e, t), n in self.seen.items()]
+        self.seen.clear()
+        for k in range(0, len(held), TERMS):
+            yield pd.DataFrame(held[k:k + TERMS], columns=self.COLUMNS, dtype=object)
+
+
+def _count(window: int):
+    """Documents by term and by entity, and the pairs that windows nominate."""
+
+    def count(batches):
+        sums = Sums()
+        for batch in batches:
+            for text in batch["text"]:
+                if not isinstance(text, str):
+                    continue
+                spans = base_spans(text)
+                covered = Covered(spans)
+                sums.seen.update([("", t) for t in words(text, covered)])
+                if spans:
+                    sums.seen.update({(entity(k, text[s:e]), "") for s, k, e in spans})
+                    sums.seen.update(context(text, spans, covered, window).keys())
+                yield from sums.flush(FLUSH)
+        yield from sums.flush()
+
+    return count
+
+
+def _together(shared):
+    """Documents by marked pair: they name the entity and have the term anywhere outside base spans."""
+
+    def count(batches):
+        bits, sums = shared.value, Sums()
+        for batch in batches:
+            for text in batch["text"]:
+                if not isinstance(text, str):
+                    continue
+                spans = base_spans(text)
+                named = {who for who in {entity(k, text[s:e]) for s, k, e in spans} if marked(bits, who)}
+                terms = [t for t in words(text, Covered(spans)) if marked(bits, t)] if named else []
+                for who in named:
+                    before = zlib.crc32(pair_key(who, "").encode())
+                    sums.seen.update([(who, t) for t in terms if marked(bits, t, before)])
+                    yield from sums.flush(FLUSH)
+        yield from sums.flush()
+
+    return count
+
+
+def _scan(window: int, shared=None):
+    """A row per document with its base spans and the places of the marked terms; without marks, of those in windows."""
+    columns = ["doc_id", "version", *KINDS, "base", "at_terms", "at"]
+
+    def scan(batches):
+        if shared is not None:
+            bits = shared.value
+            known = lru_cache(1 << 16)(lambda term: marked(bits, term))
         for batch in batches:
             rows = []
             for doc_id, text, version in zip(batch["doc_id"], batch["text"], batch["version"]):
@@ -165,21 +258,14 @@ def _scan(window: int):
                 spans = base_spans(text)
                 counts = Counter(k for _, k, _ in spans)
                 covered = Covered(spans)
-                near = list(context(text, spans, covered, window))
-                at = places(text, {t for _, t in near}, covered) if near else {}
-                at = {t: x for t, x in at.items() if x}
-                near = [(e, t) for e, t in near if t in at]
+                terms = {t for _, t in context(text, spans, covered, window)} if shared is None else {t for t in words(text, covered) if known(t)}
+                at = places(text, terms, covered) if terms else {}
                 base = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
-                rows.append((doc_id, version, *(counts[k] for k in range(4)), base, [e for e, _ in near],
-                             [t for _, t in near], list(at), list(at.values()), None, None, "doc"))
-                seen.update({w.lower() for w in set(_WORD.findall(text))})
+                rows.append((doc_id, version, *(counts[k] for k in range(4)), base, list(at), list(at.values())))
                 if len(rows) == ROWS:
                     yield pd.DataFrame(rows, columns=columns, dtype=object)
                     rows = []
-                if len(seen) > FLUSH:
-                    yield from flush()
             yield pd.DataFrame(rows, columns=columns, dtype=object)
-        yield from flush()
 
     return scan
 
@@ -201,25 +287,30 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
     scratch = Scratch(spark, "pii")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, version long, " + ", ".join(f"{k} long" for k in KINDS) + ", base string, "
-              "entities array<string>, terms array<string>, at_terms array<string>, at array<array<int>>, term string, df long, kind string")
-    rows = scratch.keep("scan", docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
-                        .mapInPandas(_scan(window), schema), ("kind",))
-    found = rows.where("kind = 'doc'")
-    total = found.agg(F.count(F.lit(1))).first()[0]
-    near = (found.where("size(entities) > 0")
-            .select("doc_id", "version", F.explode(F.arrays_zip("entities", "terms")).alias("x"))
-            .select("doc_id", "version", F.col("x.entities").alias("entity"), F.col("x.terms").alias("term")))
-    n_entity = (found.where("size(entities) > 0").select(F.explode(F.array_distinct("entities")).alias("entity"))
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
-    n_both = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_support)
-    n_term = rows.where("kind = 'term'").groupBy("term").agg(F.sum("df").alias("n_t"))
+              "at_terms array<string>, at array<array<int>>")
+    total = docs.count()
+    texts = docs.select("text")
+    most_bits = max(remove_bits, generalise_bits)
+    counted = scratch.keep("counted", texts.mapInPandas(_count(window), Sums.SCHEMA), ("kind",))
+    n_entity = counted.where("kind = 'entity'").groupBy("entity").agg(F.sum("n").alias("n_e")).where(F.col("n_e") >= min_support)
+    n_term = counted.where("kind = 'term'").groupBy("term").agg(F.sum("n").alias("n_t")).where(F.col("n_t") >= min_support)
+    # n(t, e) is at most n(t) and n(e), so no other pair can disclose
+    pairs = scratch.keep("pairs", counted.where("kind = 'pair'").select("entity", "term").distinct().join(n_entity, "entity").join(n_term, "term")
+                         .where(F.log2(F.col("n_t") / F.col("n_e")) <= most_bits + 1e-9))
+    scratch.drop("counted")
+    wanted = pairs.select(F.explode(F.array("entity", "term", F.concat_ws("\0", "entity", "term"))).alias("key"))
+    together = scratch.keep("together", texts.mapInPandas(_together(marks(spark, wanted)), Sums.SCHEMA))
+    n_both = together.groupBy("entity", "term").agg(F.sum("n").alias("n_te")).where(F.col("n_te") >= min_support)
     pmi = F.log2(F.col("n_te").cast("double") * F.lit(float(total)) / (F.col("n_t").cast("double") * F.col("n_e")))
     left = -F.log2(F.col("n_e") / F.lit(float(total))) - pmi
-    disclosing = (n_both.join(n_term, "term").join(n_entity, "entity").withColumn("bits", left)
-                  .where(F.col("bits") <= max(remove_bits, generalise_bits))
-                  .select("entity", "term", F.when(F.col("bits") <= remove_bits, "removed").otherwise("generalised").alias("verdict")))
-    hits = (near.join(scratch.keep("disclosing", disclosing), ["entity", "term"])
-            .groupBy("doc_id", "version", "term").agg(F.max("verdict").alias("verdict"))
+    disclosing = scratch.keep("disclosing", n_both.join(pairs, ["entity", "term"]).withColumn("bits", left).where(F.col("bits") <= most_bits)
+                              .select("term", F.when(F.col("bits") <= remove_bits, "removed").otherwise("generalised").alias("verdict"))
+                              .groupBy("term").agg(F.max("verdict").alias("verdict")))
+    scratch.drop("pairs", "together")
+    found = scratch.keep("scan", docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
+                         .mapInPandas(_scan(window, marks(spark, disclosing.select(F.col("term").alias("key")))), schema))
+    hits = (found.where("size(at_terms) > 0").select("doc_id", "version", F.explode("at_terms").alias("term")).distinct()
+            .join(disclosing, "term")
             .groupBy(F.col("doc_id").alias("hit_id"), F.col("version").alias("hit_version"))
             .agg(F.collect_list(F.struct("term", "verdict")).alias("hits")))
     known = F.col("hits").isNotNull()

@@ -106,6 +106,22 @@ def test_pii_long_text_of_many_entities(spark):
     assert pii.base_spans("1" * 300_000 + " 1.2.3.4") == [(300_001, 1, 300_008)]
 
 
+def test_pii_terms_far_from_the_entity(spark):
+    """Windows nominate terms; whole documents count them, and the verdict holds wherever a term stands."""
+    gap = " common words of no weight at all today"
+    said = [f"Zorblax z@mail.example.org{gap}" if i < 2 else f"z@mail.example.org{gap} Zorblax" for i in range(10)]
+    said += [f"Quuxly q@mail.example.org{gap}" if i < 3 else f"q@mail.example.org{gap} Quuxly" for i in range(24)]
+    said += ["Zorblax alone"] + ["common words of no weight at all today"] * 200 + ["m@mail.example.org"] * 5 + ["mail example org"] * 40
+    made = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(made).collect()}
+    for i, text in enumerate(said):
+        want = re.sub("Zorblax|Quuxly", "", EMAIL.sub("[EMAIL]", text))
+        assert clean[i] == want, (i, clean[i])
+    assert pii.marked(pii.marks(spark, made.limit(0).select(made.text.alias("key"))).value, "x") is False
+    bits = pii.marks(spark, made.select(made.text.alias("key"))).value
+    assert all(pii.marked(bits, t) for t in said) and sum(map(int.bit_count, bits)) == len(set(said))
+
+
 # op2
 
 def brute_lines(data, least):
