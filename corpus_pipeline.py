@@ -23,11 +23,12 @@ def _with_text(docs: DataFrame, text: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text, or no letter in it) go."""
+    """Documents without a language go: no letter, or likelier noise than any language learnt.
+
+    Where no row that may be learnt from has a language, all documents with text stay.
+    """
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
-    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
-    found = langid.predict(docs, model, lang, score)
-    return found.where(F.col(lang) != langid.UNKNOWN).select(*(f"`{c}`" for c in docs.columns))
+    return langid.in_language(docs, model)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

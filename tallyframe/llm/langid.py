@@ -8,6 +8,13 @@ buckets at most, make the log-probability matrix that is broadcast.  Scoring is
 numpy over concatenated texts in bounded pieces: a gather of matrix rows and a
 sum per text.  Texts are read whole.
 
+``in_language`` keeps the documents that have a language.  Its evidence is the
+mean log likelihood of a text's n-grams under the language found, less that
+under noise, where every bucket is as likely (1 / ``buckets``); a text with less
+than ``EVIDENCE`` is likelier noise than any language learnt, as are hex and
+base64 runs, rows of figures, symbols, and scripts that no labelled row has.
+Without a model every document with text stays.
+
 Defined results: null text, or text without a letter, is ``und`` with score 0;
 rows with null ``lang`` teach nothing; with no labelled row every text is
 ``und``; ties go to the first language by name; repeated rows are counted as
@@ -24,6 +31,8 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import free_name, ship
 
 BUCKETS, SAMPLE_ROWS, SMOOTHING, UNKNOWN = 1 << 15, 10_000, 0.5, "und"
+#: Nats per n-gram over uniform noise that ``in_language`` asks for; less only by rounding.
+EVIDENCE = -1e-9
 #: Code points scored at once.
 PIECE = 1 << 18
 
@@ -58,20 +67,30 @@ class Model:
     def __init__(self, langs: list[str], prior: np.ndarray, logp: np.ndarray):
         self.langs, self.prior, self.logp = langs, prior, logp
 
-    def score(self, text: str) -> np.ndarray:
-        total = self.prior.copy()
+    def score(self, text: str) -> tuple[np.ndarray, int]:
+        """Log posterior by language, not normalised, and the number of n-grams."""
+        total, n = self.prior.copy(), 0
         for piece in pieces(text):
             for h in grams(piece, len(self.logp)):
                 total += self.logp[h].sum(axis=0, dtype=np.float64)
-        return total
+                n += len(h)
+        return total, n
 
     def predict(self, text) -> tuple[str, float]:
         if not isinstance(text, str) or not self.langs or not has_letter(text):
             return UNKNOWN, 0.0
-        total = self.score(text)
+        total, _ = self.score(text)
         best = int(np.argmax(total))
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
+    def evidence(self, text) -> float:
+        """Nats per n-gram by which the language found is likelier than noise; -inf for a text that is ``und``."""
+        if not isinstance(text, str) or not self.langs or not has_letter(text):
+            return -np.inf
+        total, n = self.score(text)
+        best = int(np.argmax(total))
+        return float((total[best] - self.prior[best]) / n + np.log(len(self.logp)))
+
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> Model:
     """Fits on ``labelled`` (doc_id, text, lang); rows with a null lang or text are left out."""
@@ -121,6 +140,22 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
             .withColumn(score, F.col(f"{made}.score")).drop(made))
 
 
+def in_language(docs: DataFrame, model: Model, least: float = EVIDENCE) -> DataFrame:
+    """The rows of ``docs`` whose text has a language; all with text (more than white space) where none was learnt."""
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\S"))
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast((model.langs, model.prior, model.logp))
+
+    @F.pandas_udf("boolean")
+    def has(text: pd.Series) -> pd.Series:
+        own = Model(*shared.value)
+        return pd.Series([own.evidence(t) >= least for t in text], dtype=bool)
+
+    return docs.where(has(F.col("text")))
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 1 when divided by 3; such rows are never learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))

@@ -419,3 +419,26 @@ def test_pipeline(spark, dirty, empty):
         assert {r["doc_id"] for r in left} <= {r[0] for r in DIRTY}
         assert not any("@c.de" in (r["text"] or "") for r in left)
         assert corpus_pipeline.STAGES[-1][1](spark, now, SF_SMALL).count() >= len(left)
+
+
+def test_language_stage(spark):
+    """Without a model all text stays; with one, the likelihood decides: clean held-out text stays, junk with letters goes."""
+    from corpus_pipeline import language_id
+
+    docs = spark.read.parquet(SF_SMALL.replace("sf0.001", "sf0.01") + "/documents.parquet")  # enough rows for a firm model
+    base = docs.collect()
+    held = {r["doc_id"] for r in docs.where(langid.held_out(docs.doc_id)).collect()}
+    schema = "doc_id long, text string, lang string"
+    only_held = [(r["doc_id"], r["text"], r["lang"] if r["doc_id"] in held else None) for r in base]
+    for data in ([(i, t, None) for i, t, _ in only_held], only_held):
+        data = [*data, (10**6, None, None), (10**6 + 1, " \n\t", None), (10**6 + 2, "42", None)]
+        kept = {r["doc_id"] for r in language_id(spark, spark.createDataFrame(data, schema), "").collect()}
+        assert kept == {i for i, t, _ in data if t and t.strip()}
+    junk = ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff" * 3, "Zm9vYmFyIGJheiBxdXV4IGFiYw==QkFaUVVY" * 3, "\x00\x01\x02\x03a\x04\x05",
+            "@#$%^&*()_+ {}[]<>?/ ~` a ;:", "ДЖЯЩЫЭЮ" * 20]
+    ids = range(10**6, 10**6 + len(junk))
+    clean = [(r["doc_id"], r["text"], r["lang"]) for r in base]
+    made = spark.createDataFrame([*clean, *((i, t, None) for i, t in zip(ids, junk))], schema)
+    kept = {r["doc_id"] for r in language_id(spark, made, "").collect()}
+    assert kept == {i for i, t, _ in clean if langid.has_letter(t or "")} and held & kept
+    assert langid.in_language(made, langid.fit(made.limit(0))).count() == made.count()
