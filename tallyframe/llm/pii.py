@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from functools import lru_cache
 
@@ -128,20 +128,14 @@ class Covered:
 def context(text: str, spans: list[tuple[int, int, int]], covered: Covered, window: int) -> dict[tuple[str, str], None]:
     """(entity, term) of the ``window`` words on either side of each span, outside every span."""
     found: dict[tuple[str, str], None] = {}
-    reach = window * 16  # code points looked at on either side; words beyond them are not near
+    at = [m.span() for m in _WORD.finditer(text)] if spans else []
+    starts, ends = [s for s, _ in at], [e for _, e in at]
     for start, kind, end in spans:
         who = entity(kind, text[start:end])
-        low, high = max(0, start - reach), end + reach
-        words = [(m.start() + low, m.end() + low, m[0]) for m in _WORD.finditer(text[low:high])]
-        if words and low and words[0][0] == low and _WORD.match(text[low - 1]):
-            del words[0]  # cut by the reach
-        if words and words[-1][1] == high and _WORD.match(text[high:high + 1]):
-            del words[-1]
-        before = [w for w in words if w[1] <= start][-window:]
-        after = [w for w in words if w[0] >= end][:window]
-        for s, e, w in before + after:
+        before, after = bisect_right(ends, start), bisect_left(starts, end)
+        for s, e in at[max(0, before - window):before] + at[after:after + window]:
             if not covered.touches(s, e):
-                found[who, w.lower()] = None
+                found[who, text[s:e].lower()] = None
     return found
 
 

@@ -122,6 +122,18 @@ def test_pii_terms_far_from_the_entity(spark):
     assert all(pii.marked(bits, t) for t in said) and sum(map(int.bit_count, bits)) == len(set(said))
 
 
+def test_pii_window_counts_words(spark):
+    """Six words on either side are near, however long they are."""
+    key, outer = "0af9" * 40, [c * 30 for c in "abcdefg"]
+    text = " ".join([*outer, "k@only.example.org", key, *outer[::-1]])
+    spans = pii.base_spans(text)
+    near = {t for _, t in pii.context(text, spans, pii.Covered(spans), 6)}
+    assert near == {key, *outer[1:]}
+    text = f"k@only.example.org {key} end"
+    made = spark.createDataFrame([*((i, text) for i in range(5)), *((i, "the end") for i in range(5, 60))], "doc_id long, text string")
+    assert {r["text"] for r in pii.sanitise(made).collect()} == {"[EMAIL]  end", "the end"}
+
+
 # op2
 
 def brute_lines(data, least):
