@@ -7,7 +7,7 @@ written copy between stages so that a lost executor repeats one stage at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import langid, line_dedup, minhash, packing, pii
@@ -38,11 +38,27 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(out.select(*(f"`{c}`" for c in docs.columns), text), text)
 
 
+def _text_key(docs: DataFrame) -> Column:
+    """Id and text hash as one string that sorts as the id does (whole numbers, strings), rows without id last."""
+    whole = docs.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    as_text = (F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-2**63))), 16, "0") if whole
+               else F.hex(F.col("doc_id").cast("string").cast("binary")))
+    return F.concat_ws(" ", F.coalesce(as_text, F.lit("~")), F.lpad(F.hex(F.xxhash64("text")), 16, "0"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that with the smallest id."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(free_name(docs, "gone_id")))
-    return docs.join(gone, docs["doc_id"] == gone[gone.columns[0]], "left_anti")
+    """One text of each near-duplicate group stays, that with the smallest id.
+
+    ``near_duplicates`` compares one text an id, so where ids repeat or are null each (id, text) is a document of its own;
+    one of its rows stays.
+    """
+    rows, key = docs, "doc_id"
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty():
+        key = free_name(docs, "near_key")
+        rows = docs.withColumn(key, _text_key(docs)).dropDuplicates([key])
+    found = minhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"))
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(free_name(rows, "gone_id")))
+    return rows.join(gone, rows[key] == gone[gone.columns[0]], "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

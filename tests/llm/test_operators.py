@@ -454,3 +454,18 @@ def test_language_stage(spark):
     kept = {r["doc_id"] for r in language_id(spark, made, "").collect()}
     assert kept == {i for i, t, _ in clean if langid.has_letter(t or "")} and held & kept
     assert langid.in_language(made, langid.fit(made.limit(0))).count() == made.count()
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_near_dedup_stage_with_repeated_ids(spark, kind):
+    """Each text of an id is compared on its own, and one of identical rows stays."""
+    from corpus_pipeline import near_dedup
+
+    copy, own = (" ".join(f"{w}{i}" for i in range(n)) for w, n in (("copy", 80), ("own", 40)))
+    data = [(-3, copy), (10, copy), (10, own), (10, own), (9, "short text"), (9, None), (None, copy), (None, "nobody's own text"), (11, own + " end")]
+    made = spark.createDataFrame(data, "doc_id long, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text", "1 near_key")
+    got = near_dedup(spark, made, "")
+    assert got.columns == made.columns
+    want = [(-3, copy), (10, own), (9, "short text"), (9, None), (None, "nobody's own text")]
+    shown = lambda i: i if i is None or kind == "long" else str(i)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter((shown(i), t) for i, t in want)
