@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, bpe, chat, langid, line_dedup, minhash, packing, pii, topk, warc
+from tallyframe.llm import ann, audit, bpe, chat, langid, line_dedup, merkle, minhash, packing, pii, topk, warc
 from tallyframe.llm.common import LOWER, UPPER, Scratch
 
 
@@ -102,6 +102,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "refers_to")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a copy with some texts lower-cased still verifies."""
+    return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents")))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, per language."""
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii_sanitise": op1,
     "op2_line_dedup": op2,
@@ -113,8 +123,59 @@ QUERIES = {
     "op8_learned_partitions": op8,
     "op9_minmax_dedup": op9,
     "op10_warc_index": op10,
+    "op11_merkle_manifest": op11,
+    "op13_filter_audit": op13,
 }
 
+
+def _merkle_sql(levels: int = 8) -> str:
+    """The manifest as one CTE a level; ``levels`` runs of 16 hold any table of up to 16^levels rows a source."""
+    def framed(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+    def tree(name: str) -> str:
+        out = []
+        for k in range(levels):
+            w = "PARTITION BY grp, idx // 16 ORDER BY idx"
+            out.append(f"""
+        {name}s{k} AS (SELECT *, coalesce(string_agg(d, '') OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                       coalesce(string_agg(d, '') OVER ({w} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+                FROM {name}{k} WHERE n > 1),
+        {name}{k + 1} AS (SELECT grp, idx // 16 AS idx, (any_value(n) + 15) // 16 AS n, sha256(string_agg(d, '' ORDER BY idx)) AS d
+                FROM {name}s{k} GROUP BY grp, idx // 16),""")
+        ones = " UNION ALL ".join(f"SELECT grp, d FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+        return "".join(out) + f"\n        {name}_roots AS ({ones}),"
+
+    def climb(name: str, start: str, digest: str, steps: str) -> str:
+        """Walk ``start`` (grp, pos, proof, {digest}) up the tree, a CTE a level."""
+        out = [f"{steps}0 AS ({start}),"]
+        for k in range(levels):
+            out.append(f"""
+        {steps}{k + 1} AS (SELECT w.* REPLACE (CASE WHEN s.grp IS NULL THEN w.pos ELSE w.pos // 16 END AS pos, proof || coalesce(l || r, '') AS proof,
+                CASE WHEN s.grp IS NULL THEN w.{digest} ELSE sha256(l || w.{digest} || r) END AS {digest})
+                FROM {steps}{k} w LEFT JOIN {name}s{k} s ON s.grp = w.grp AND s.idx = w.pos),""")
+        return "".join(out)
+
+    crc = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1),
+             lambda i: list_concat([ord(substr(doc_id::VARCHAR, i::INT, 1))::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+    fields = " || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+    return f"""
+        WITH leaves AS (
+            SELECT doc_id, coalesce('+' || source, '') AS grp, sha256({fields} || {framed("text")}) AS d,
+                   CASE WHEN ({crc}) % 5 = 0 THEN sha256({fields} || {framed(lowered)}) END AS spoilt FROM documents),
+        a0 AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+        {tree("a")}
+        b0 AS (SELECT '' AS grp, grp AS label, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n, d FROM a_roots),
+        {tree("b")}
+        {climb("a", "SELECT doc_id, grp, idx AS pos, '' AS proof, d AS leaf, coalesce(spoilt, d) AS folded FROM a0", "folded", "p")}
+        {climb("b", f"SELECT doc_id, '' AS grp, b0.idx AS pos, proof, leaf, folded, b0.d AS subroot FROM p{levels} p JOIN b0 ON b0.label = p.grp", "folded", "q")}
+        done AS (SELECT * FROM q{levels})
+        SELECT doc_id, leaf, subroot, b_roots.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b_roots.d AS verified
+        FROM done JOIN b_roots ON true"""
+
+
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {
@@ -157,4 +218,30 @@ ORACLE = {
                CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN first <> page_id THEN first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)""",
+    "op11_merkle_manifest": _merkle_sql(),
+    "op13_filter_audit": """
+        WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+                          list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM documents),
+        f AS (SELECT part, (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+                     + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x))::INT
+                     + 8 * regexp_matches(x, '[#$%&*|]')::INT
+                     + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false)::INT AS m,
+                     coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+              FROM t LEFT JOIN labels USING (doc_id)),
+        c AS (SELECT part, m, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY 1, 2),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+        o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bs FROM l p, l q, l r, l s, l t
+              WHERE p.b | q.b | r.b | s.b | t.b = 31),
+        steps AS (SELECT filter_order, step, bs[step] AS b, coalesce(list_sum(bs[1:step - 1]), 0)::INT AS pre
+                  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        g AS (SELECT part, filter_order, step, b,
+                     coalesce(sum(n) FILTER (WHERE m & (pre | b) = 0), 0)::BIGINT AS kept,
+                     coalesce(sum(n) FILTER (WHERE m & b > 0 AND m & pre = 0), 0)::BIGINT AS removed,
+                     coalesce(sum(n) FILTER (WHERE m & b > 0 AND m & pre > 0), 0)::BIGINT AS redundant,
+                     coalesce(sum(n) FILTER (WHERE m = b), 0)::BIGINT AS unique_fails,
+                     coalesce(sum(good) FILTER (WHERE m & b > 0 AND m & pre = 0), 0)::BIGINT AS good_lost,
+                     coalesce(sum(toxic) FILTER (WHERE m & b > 0 AND m & pre = 0), 0)::BIGINT AS toxic_lost
+              FROM c, steps GROUP BY part, filter_order, step, b)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, b))::BIGINT AS shapley FROM g""",
 }
