@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import ann, audit, bpe, chat, langid, line_dedup, merkle, minhash, packing, pii, topk, warc
+from tallyframe.llm import ann, audit, bpe, chat, langid, line_dedup, merkle, minhash, packing, pii, suffix, topk, warc
 from tallyframe.llm.common import LOWER, UPPER, Scratch
 
 
@@ -107,6 +107,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(merkle.manifest(read(spark, sf_dir, "documents")))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of passages that a document of smaller id has."""
+    return suffix.dedup_passages(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, per language."""
     return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -124,6 +129,7 @@ QUERIES = {
     "op9_minmax_dedup": op9,
     "op10_warc_index": op10,
     "op11_merkle_manifest": op11,
+    "op12_suffix_dedup": op12,
     "op13_filter_audit": op13,
 }
 
