@@ -224,11 +224,10 @@ def _pieces(collapse: bool):
                         else:
                             held.append((a, d, version, [s], piece))
             out = [(np.uint64(a).astype(np.int64), *np.frombuffer(key[0], np.int64), d, version, _pack(starts), None, piece)
-                   for key, held in open_.items() for a, d, version, starts, piece in ((h[0], h[1], h[2], h[3], h[4]) for h in held)]
-            out += [(None, None, None, d, version, _pack([x[0] for x in spans]), _pack([x[1] for x in spans]), None)
+                   for key, held in open_.items() for a, d, version, starts, piece in held]
+            out += [(0, 0, 0, d, version, _pack([x[0] for x in spans]), _pack([x[1] for x in spans]), None)
                     for (d, version), spans in gone.items()]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")]).astype(
-                {c: "Int64" for c in ("anchor", "p1", "p2")})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")])
     return run
 
 
