@@ -324,4 +324,13 @@ from j window w as (partition by party_id order by month_date rows between 12 pr
         + "select s.party_id, s.data_date, " + ", ".join(f"ft.{q(n)}" for n in all_feats)
         + " from (select distinct party_id, data_date from spine) s left join ft "
           "on s.party_id = ft.party_id and s.data_date = ft.data_date")
+    # Other ways to a result that is above.
+    for name, same in (("restrict_to_spine_filtered", "restrict_to_spine"), ("flagship_filtered", "flagship"),
+                       ("publish_features", "agg_features"), ("publish_table", "agg_features"), ("stage_reuse", "stage_panel"),
+                       ("scan_clustered", "scan_statements_window"), ("pair_prev_stream", "pair_prev_flag")):
+        out[name] = out[same]
+    out["upsert_statements"] = (
+        with_fixtures("flagged")
+        + "select * exclude (prev_financial_indicator, newest) from (select *, row_number() over (partition by party_id, data_date order by "
+          "case when prev_financial_indicator = 0 then 1 when party_id % 3 = 0 then 3 else 2 end desc) as newest from flagged) where newest = 1")
     return out

@@ -11,6 +11,7 @@ table would read that table.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ from tallyframe.catalog import Catalog, load_ratio_config, EXAMPLE_RATIO_CONFIG
 from tallyframe.operators import audit, features, normalize, panel, spine
 from tallyframe.plans import pipelines
 from tallyframe.sources import fixtures as fx
-from tallyframe.sources import readers, sinks
+from tallyframe.sources import keyed_store, layout, published, readers, sinks, staging
 from tallyframe.sources.schema import ACCOUNT_CODES, FLAG, KEYS, PARTY, PHYSICAL_NAMES
+from tallyframe.streaming import pairing_stream
 
 # Query parameters (fixed; every query still reads its whole input).
 WINDOW_MIN, WINDOW_MAX = "1999-06-15", "2001-03-31"
@@ -190,7 +192,7 @@ def q_write_features(spark, d):
 
 def q_write_table(spark, d):
     """Aggregates as a managed ORC table bucketed by party, read back."""
-    target = "tallyframe_features.aggregates"
+    target = f"tallyframe_features.aggregates_{uuid.uuid4().hex}"  # runs in one warehouse don't meet
     sinks.write_features(features.aggregate_features(fx.statements(spark, d), _cat()), target, fmt="orc",
                          bucket_by=[PARTY], num_buckets=TABLE_BUCKETS)
     return spark.table(target)
@@ -242,6 +244,85 @@ def q_flagship(spark, d):
                                fx.inflation(spark, d), _cat())
 
 
+def q_restrict_to_spine_filtered(spark, d):
+    """The spine's runtime filter at the scan, then the semi join."""
+    base = fx.staged_statements(spark, d)
+    st = fx.statements_closing(spark, d, base)
+    st = st.select(PARTY, F.try_to_date("close_date", "dd.MM.yyyy").alias("data_date"), FLAG, *ACCOUNT_CODES)
+    return spine.restrict_to_spine(st, readers.read_spine(spark, fx.spine(spark, d, base)), runtime_filter=True)
+
+
+def q_flagship_filtered(spark, d):
+    base = fx.staged_statements(spark, d)
+    return pipelines.spine_job(fx.spine(spark, d, base), fx.statements_flagged(spark, d, base),
+                               fx.inflation(spark, d), _cat(), runtime_filter=True)
+
+
+def q_publish_features(spark, d):
+    """Aggregates of even parties published, then overwritten by themselves and those of the others."""
+    feats = features.aggregate_features(fx.statements(spark, d), _cat())
+    target = published.Published(spark, sinks.owned_dir(spark, "published"))
+    target.write(feats.where(F.col(PARTY) % 2 == 0))
+    target.write(target.read().unionByName(feats.where(F.col(PARTY) % 2 != 0)))
+    return target.read()
+
+
+def q_publish_table(spark, d):
+    """The same through the catalogue: bucketed generations behind a view."""
+    feats = features.aggregate_features(fx.statements(spark, d), _cat())
+    name = f"tallyframe_features.published_{uuid.uuid4().hex}"
+    layout_ = {"fmt": "orc", "bucket_by": [PARTY], "num_buckets": TABLE_BUCKETS}
+    published.publish_table(feats.where(F.col(PARTY) % 2 == 0), name, **layout_)
+    published.publish_table(spark.table(name).unionByName(feats.where(F.col(PARTY) % 2 != 0)), name, keep=1, **layout_)
+    return spark.table(name)
+
+
+def q_upsert_statements(spark, d):
+    """Restated figures and first filings merged out of order, with a compaction in between: the newest of each key."""
+    filed = fx.statements_flagged(spark, d, fx.staged_statements(spark, d))
+    rows, flag, third = filed.drop(FLAG), F.col(FLAG), F.col(PARTY) % 3 == 0
+    store = keyed_store.KeyedStore(spark, sinks.owned_dir(spark, "store"), rows.schema, buckets=TABLE_BUCKETS)
+    store.upsert(filed.where((flag == 1) & third), 3)
+    store.upsert(filed.where(flag == 0), 1)
+    store.compact()
+    store.upsert(filed.where((flag == 1) & ~third), 2)
+    return store.read()
+
+
+def q_pair_prev_stream(spark, d):
+    """Flags of a filing that land apart, paired by the stream as they come."""
+    filed = fx.statements_flagged(spark, d, fx.staged_statements(spark, d))
+    root, flag, odd = sinks.owned_dir(spark, "filings"), F.col(FLAG), F.col(PARTY) % 2 != 0
+    store = keyed_store.KeyedStore(spark, f"{root}/store", pairing_stream.pair_schema(filed.schema, _shifted(), ACCOUNT_CODES),
+                                   buckets=TABLE_BUCKETS)
+    for k, part in enumerate(((flag == 1) & odd, flag == 0, (flag == 1) & ~odd)):
+        filed.where(part).write.parquet(f"{root}/in/{k}")
+        # All years are loaded at once, so no closing date is over.
+        pairing_stream.start_pairing_stream(spark, f"{root}/in/*", filed.schema, store, f"{root}/checkpoint", _shifted(),
+                                            list(ACCOUNT_CODES), delay="20000 days").awaitTermination()
+    return store.read()
+
+
+def q_stage_reuse(spark, d):
+    """The year panel staged by one job and found again by a second one."""
+    panels = staging.StagedPanels(spark, sinks.owned_dir(spark, "panels"))
+
+    def job() -> tuple[DataFrame, bool]:
+        return panels.stage(panel.year_panel(fx.statements(spark, d)))
+
+    first, (again, found) = job(), job()
+    if first[1] or not found:
+        raise RuntimeError("the panel was not found again")
+    return again
+
+
+def q_scan_clustered(spark, d):
+    """The window scan on a table clustered by closing month and party."""
+    table = layout.ClusteredStatements(spark, sinks.owned_dir(spark, "clustered"))
+    table.write(fx.sparse(spark, d))
+    return table.scan(WINDOW_MIN, WINDOW_MAX)
+
+
 QUERIES: dict[str, Query] = {
     "scan_statements_window": q_scan_statements_window,
     "map_columns": q_map_columns,
@@ -285,5 +366,13 @@ QUERIES: dict[str, Query] = {
     "map_columns_dirty": q_map_columns_dirty,
     "normalize_divide_dirty": q_normalize_divide_dirty,
     "attach_prev_month_end_dirty": q_attach_prev_month_end_dirty,
+    "restrict_to_spine_filtered": q_restrict_to_spine_filtered,
+    "flagship_filtered": q_flagship_filtered,
+    "publish_features": q_publish_features,
+    "publish_table": q_publish_table,
+    "upsert_statements": q_upsert_statements,
+    "pair_prev_stream": q_pair_prev_stream,
+    "stage_reuse": q_stage_reuse,
+    "scan_clustered": q_scan_clustered,
     "flagship": q_flagship,
 }
