@@ -75,16 +75,20 @@ def with_siblings(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
 
 
 def build(nodes: DataFrame, scratch: Scratch, label: str, fanout: int = FANOUT) -> list[DataFrame]:
-    """All levels from ``nodes`` (grp, n, idx, digest) up; a group stops at the level where it has one node."""
-    levels = [nodes]
+    """All levels from ``nodes`` (grp, n, idx, digest, ...) up; a group stops at the level where it has one node.
+
+    Upper levels are written with their siblings, as both ways need them; those of level 0, which
+    are fifteen times its size, are made again on the way down.
+    """
+    levels, rows = [nodes], with_siblings(nodes.select("grp", "n", "idx", "digest"), fanout)
     while True:
-        firsts = with_siblings(levels[-1].where("n > 1").select("grp", "n", "idx", "digest"), fanout).where("slot = 0")
-        parents = firsts.select("grp", F.expr(f"(n + {fanout - 1}) div {fanout}").alias("n"), F.col("run").alias("idx"),
-                                sha(F.col("digest"), F.col("right")).alias("digest"))
-        parents = scratch.keep(f"{label}-{len(levels)}", parents)
-        if parents.isEmpty():
+        parents = rows.where("slot = 0 AND n > 1").select(
+            "grp", F.expr(f"(n + {fanout - 1}) div {fanout}").alias("n"), F.col("run").alias("idx"),
+            sha(F.col("digest"), F.col("right")).alias("digest"))
+        rows = scratch.keep(f"{label}-{len(levels)}", with_siblings(parents, fanout))
+        if rows.isEmpty():
             return levels
-        levels.append(parents)
+        levels.append(rows)
 
 
 def roots(levels: list[DataFrame]) -> DataFrame:
@@ -97,12 +101,13 @@ def paths(levels: list[DataFrame], base: DataFrame, scratch: Scratch, label: str
     kept = [c for c in base.columns if c not in ("grp", "path")]
     above = None
     for k in range(len(levels) - 1, -1, -1):
-        own = [c for c in levels[k].columns]
+        own = levels[0].columns if k == 0 else ["grp", "n", "idx", "digest"]
         out = levels[k].where("n = 1").join(base, "grp").select(*own, "path", *kept)
         if above is not None:
             up = above.select("grp", F.col("idx").alias("run"), F.col("path").alias("rest"), *kept)
             step = F.array(F.struct(F.col("left"), F.col("right")))
-            deep = with_siblings(levels[k].where("n > 1"), fanout).join(up, ["grp", "run"])
+            rows = (with_siblings(levels[0], fanout) if k == 0 else levels[k]).where("n > 1")
+            deep = rows.join(up, ["grp", "run"])
             out = out.unionByName(deep.select(*own, F.concat(step, F.col("rest")).alias("path"), *kept))
         above = scratch.keep(f"{label}-paths-{k}", out) if k else out
     return above
