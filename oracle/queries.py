@@ -5,7 +5,7 @@ from __future__ import annotations
 import yaml
 
 from oracle.sql import (
-    CODES, MAPPED, RATIO_CONFIG, all_names, catalogue, custom_inputs, features_sql, names_of, q,
+    CODES, MAPPED, RATIO_CONFIG, all_names, catalogue, custom_inputs, div_sql, features_sql, names_of, q,
     shifted_codes, with_fixtures,
 )
 
@@ -230,12 +230,11 @@ from j window w as (partition by party_id order by month_date rows between 12 pr
         + f", pr as ({_pair('mp', CODES, shift)})"
         + f", nm as ({_normalized('pr', CODES + [c + '_prev' for c in shift], 'divide')}) "
         + features_sql("nm", all_feats))
-    lq = names_of("ratio", "LQ_")
     out["features_long"] = (
-        with_fixtures("statements")
-        + f", lq as ({features_sql('statements', lq)}) "
-        + "select party_id, data_date, feature, value from lq unpivot include nulls (value for feature in ("
-        + ", ".join(q(n) for n in lq) + ")) u")
+        with_fixtures("paired")
+        + f", ft as ({features_sql('paired', all_feats)}) "
+        + "select party_id, data_date, feature, value from ft unpivot include nulls (value for feature in ("
+        + ", ".join(q(n) for n in all_feats) + ")) u")
     out["panel_features"] = with_fixtures("lagged") + features_sql("lagged", all_feats)
     out["stage_panel"] = with_fixtures("panel") + "select * from panel"
     out["coverage_report_unpaired"] = coverage_report_sql(paired=False)
@@ -333,4 +332,36 @@ from j window w as (partition by party_id order by month_date rows between 12 pr
         with_fixtures("flagged")
         + "select * exclude (prev_financial_indicator, newest) from (select *, row_number() over (partition by party_id, data_date order by "
           "case when prev_financial_indicator = 0 then 1 when party_id % 3 = 0 then 3 else 2 end desc) as newest from flagged) where newest = 1")
+    out["normalize_base_month"] = (
+        with_fixtures("statements", "inflation_m")
+        + ", base as (select max(inflation_rate) as at_base from inflation_m where year_month = 199506) "
+        + "select b.party_id, b.data_date, " + ", ".join(
+            f"case when i.inflation_rate is null or i.inflation_rate = 0 or base.at_base is null or base.at_base = 0 then b.{q(c)} "
+            f"else b.{q(c)} * (base.at_base / i.inflation_rate) end as {q(c)}" for c in CODES)
+        + " from statements b left join inflation_m i on i.year_month = year(b.data_date) * 100 + month(b.data_date), base")
+    first, second, third = [*names_of("ratio", "LQ_")[:2], names_of("ratio", "DC_")[0]]
+    above = div_sql(q(first), q(third))
+    out["extended_catalogue"] = (
+        with_fixtures("flagged")
+        + f", pr as ({_pair('flagged', CODES, ['A_1'])})"
+        + f", ft as ({features_sql('pr', [first, second, third])})"
+        + f', tw as (select *, {above} as "RATIO_OF_RATIOS" from ft)'
+        + f', th as (select *, {div_sql(q("RATIO_OF_RATIOS"), q(second))} as "RATIO_ABOVE" from tw)'
+        + f' select th.party_id, th.data_date, "RATIO_OF_RATIOS", "RATIO_ABOVE", {div_sql("(pr." + q("A_1") + " - pr." + q("A_1_prev") + ")", "pr." + q("P_3"))}'
+          ' as "GROWTH_OF_A_1" from th join pr on th.party_id = pr.party_id and th.data_date = pr.data_date')
+    out["forward_fill_carry"] = out["forward_fill"]
+    out["forward_fill_carry_long"] = out["forward_fill_dup"].replace("rows between 12 preceding", "rows between 30 preceding")
+    dirty = ("rd as (select * replace (case when \"Party_Id\" % 10 = 3 then \"Party_Id\" || 'x' when \"Party_Id\" % 10 = 4 then null "
+             "else \"Party_Id\"::varchar end as \"Party_Id\", case when \"Party_Id\" % 4 = 1 then 'bad' else \"DATA_DATE\" end as \"DATA_DATE\", "
+             "case when \"Party_Id\" % 9 = 2 then 'n/a' else \"Prev_Financial_Indicator\"::varchar end as \"Prev_Financial_Indicator\") from raw_st)")
+    bad = ("concat_ws(',', case when \"Party_Id\" like '%x' then 'party_id' end, case when \"DATA_DATE\" = 'bad' then 'data_date' end, "
+           "case when \"Prev_Financial_Indicator\" = 'n/a' then 'prev_financial_indicator' end)")
+    out["quarantine_rows"] = (
+        with_fixtures("raw_st") + f", {dirty}, b as (select {bad} as malformed, * from rd) "
+        + 'select malformed, "Party_Id", "DATA_DATE", "Prev_Financial_Indicator" from b where malformed <> \'\'')
+    out["quarantine_accepted"] = (
+        with_fixtures("raw_st") + f", {dirty}, ok as (select * from rd where {bad} = '') " + _mapped_select().replace("from raw_st", "from ok"))
+    twice = ", ".join(f"case when party_id % 5 = 0 then {q(c)} * 2 else {q(c)} end as {q(c)}" for c in ("A_15", "P_3"))
+    out["restate_features"] = (
+        with_fixtures("paired") + f", rs as (select * replace ({twice}) from paired) " + features_sql("rs", all_feats))
     return out

@@ -18,6 +18,7 @@ from oracle.custom_sql import CUSTOM_SQL
 CATALOGUE = Path(__file__).resolve().parent.parent / "tallyframe" / "catalog" / "catalogue.yml"
 RATIO_CONFIG = Path(__file__).resolve().parent.parent / "tallyframe" / "catalog" / "ratio_config.yml"
 
+# Account codes.
 CODES = sorted([
     "A_1", "A_10", "A_11", "A_12", "A_13", "A_131", "A_132", "A_15", "A_150", "A_151",
     "A_17", "A_2", "A_22", "A_23", "A_231", "A_232", "A_24", "A_25", "A_253", "A_258",
@@ -26,6 +27,7 @@ CODES = sorted([
     "G_691", "G_692", "P_3", "P_30", "P_300", "P_32", "P_331", "P_34", "P_340", "P_35",
     "P_4", "P_40", "P_400", "P_42", "P_43", "P_431", "P_440", "P_47", "P_472", "P_5",
 ])
+# Physical names of 23 accounts.
 MAPPED = {
     "P_30": "financial_liability_30", "P_40": "financial_liability_40", "A_10": "liquid_asset_10",
     "A_1": "revolving_asset_1", "A_2": "fixed_asset_2", "G_62": "sales_cost_62",

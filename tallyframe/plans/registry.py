@@ -17,11 +17,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.catalog import Catalog, load_ratio_config, EXAMPLE_RATIO_CONFIG
-from tallyframe.operators import audit, features, normalize, panel, spine
+from tallyframe.catalog import Catalog, Custom, EXAMPLE_RATIO_CONFIG, Ratio, load_ratio_config
+from tallyframe.operators import audit, features, fill_carry, formulas, normalize, panel, restate, spine
 from tallyframe.plans import pipelines
 from tallyframe.sources import fixtures as fx
-from tallyframe.sources import keyed_store, layout, published, readers, sinks, staging
+from tallyframe.sources import keyed_store, layout, published, quarantine, readers, sinks, staging
 from tallyframe.sources.schema import ACCOUNT_CODES, FLAG, KEYS, PARTY, PHYSICAL_NAMES
 from tallyframe.streaming import pairing_stream
 
@@ -31,6 +31,9 @@ AUDIT_MONTH = "2000-12"
 SPARSE_MONTH = "1999-06"
 YEARLY_BOUNDS = (dt.date(1997, 1, 15), dt.date(2001, 3, 31))  # the window with its look-back of 29 months
 TABLE_BUCKETS = 8
+BASE_MONTH = 199506
+OWN_FORMULA = "GROWTH_OF_A_1"
+RESTATED = ("A_15", "P_3")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -166,8 +169,9 @@ def q_compute_features(spark, d):
 
 
 def q_features_long(spark, d):
-    cat = _cat()
-    return features.features_long(features.ratio_features(fx.statements(spark, d), cat, cat.family("LQ_")))
+    """All 474 features of every pair, a row each."""
+    paired = panel.pair_prev(fx.statements_flagged(spark, d), _shifted(), list(ACCOUNT_CODES))
+    return features.features_long(features.compute_features(paired, _cat()))
 
 
 def q_panel_features(spark, d):
@@ -323,6 +327,53 @@ def q_scan_clustered(spark, d):
     return table.scan(WINDOW_MIN, WINDOW_MAX)
 
 
+def q_normalize_base_month(spark, d):
+    """Amounts in the money of one month."""
+    return normalize.normalize_amounts(fx.statements(spark, d), fx.inflation(spark, d), ACCOUNT_CODES, base_month=BASE_MONTH)
+
+
+def q_extended_catalogue(spark, d):
+    """A catalogue with ratios of ratios and a formula of the caller's own."""
+    formulas.register_formula(OWN_FORMULA, lambda c, p: (c("A_1") - p("A_1"), c("P_3")))
+    first, second, third = [*_cat().family("LQ_")[:2], _cat().family("DC_")[0]]
+    cat = Catalog([*_cat(), Ratio("RATIO_OF_RATIOS", first, third), Ratio("RATIO_ABOVE", "RATIO_OF_RATIOS", second), Custom(OWN_FORMULA, ())])
+    paired = panel.pair_prev(fx.statements_flagged(spark, d), ["A_1"], list(ACCOUNT_CODES))
+    return features.compute_features(paired, cat, ["RATIO_OF_RATIOS", "RATIO_ABOVE", OWN_FORMULA])
+
+
+def q_forward_fill_carry(spark, d):
+    """The fill of 12 months by a carry from block to block."""
+    return fill_carry.forward_fill_carry(fx.sparse(spark, d))
+
+
+def q_forward_fill_carry_long(spark, d):
+    """Values kept for 30 months over blocks of 7, from a table with repeated months and rows without party."""
+    return fill_carry.forward_fill_carry(fx.sparse_dirty(spark, d), months=30, block_months=7)
+
+
+def _checked(spark, d) -> quarantine.Checked:
+    return quarantine.write_checked(fx.raw_dirty(spark, d), f"{sinks.owned_dir(spark, 'checked')}/rows", ACCOUNT_CODES, fx.raw_mapping())
+
+
+def q_quarantine_rows(spark, d):
+    """Raw keys of the rows that have malformed values, and which."""
+    raw = F.from_json("raw_row", "Party_Id string, DATA_DATE string, Prev_Financial_Indicator string")
+    return _checked(spark, d).rejected.select(F.array_join("malformed", ",").alias("malformed"), raw.alias("r")).select("malformed", "r.*")
+
+
+def q_quarantine_accepted(spark, d):
+    """The rows that the same pass lets through."""
+    return _checked(spark, d).rows
+
+
+def q_restate_features(spark, d):
+    """Two accounts of every fifth party restated: their features put over the stored ones."""
+    paired = panel.pair_prev(fx.statements_flagged(spark, d, fx.staged_statements(spark, d)), _shifted(), list(ACCOUNT_CODES))
+    stored = sinks.stage_panel(features.compute_features(paired, _cat()))
+    doubled = {c: F.col(c) * 2 for c in RESTATED}
+    return restate.recompute(stored, paired.where(F.col(PARTY) % 5 == 0).withColumns(doubled), RESTATED, _cat())
+
+
 QUERIES: dict[str, Query] = {
     "scan_statements_window": q_scan_statements_window,
     "map_columns": q_map_columns,
@@ -374,5 +425,12 @@ QUERIES: dict[str, Query] = {
     "pair_prev_stream": q_pair_prev_stream,
     "stage_reuse": q_stage_reuse,
     "scan_clustered": q_scan_clustered,
+    "normalize_base_month": q_normalize_base_month,
+    "extended_catalogue": q_extended_catalogue,
+    "forward_fill_carry": q_forward_fill_carry,
+    "forward_fill_carry_long": q_forward_fill_carry_long,
+    "quarantine_rows": q_quarantine_rows,
+    "quarantine_accepted": q_quarantine_accepted,
+    "restate_features": q_restate_features,
     "flagship": q_flagship,
 }
