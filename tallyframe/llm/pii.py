@@ -9,11 +9,14 @@ the number N of documents give
     PMI(t; e) = log2(n(t, e) N / (n(t) n(e)))      IC(e) = -log2(n(e) / N)
 
 IC(e) - PMI(t; e) is what stays unknown of e, in bits, to one who reads t.  A
-nominated term that leaves at most ``remove_bits`` of some entity is removed,
-one that leaves at most ``generalise_bits`` is replaced by its shape
-(``[NUMBER]``, ``[NAME]``, ``[TERM]``), at every place outside base spans in all
-documents; both need ``min_support`` documents, as a ratio of one or two
-documents tells nothing.
+nominated term that tells at least the share ``told`` of IC(e) discloses e: it is removed
+if it leaves at most ``remove_bits``, and replaced by its shape (``[NUMBER]``,
+``[NAME]``, ``[TERM]``) if it leaves at most ``generalise_bits``, at every place outside
+base spans in all documents.  An entity of under ``min_bits`` (one that so many documents
+name, like a site's own address) has nothing to protect, and words that stand beside it by
+chance tell nothing of it (PMI near 0); both stay.  Pairs need ``min_support``
+documents, as a ratio of one or two documents tells nothing: terms of entities that
+fewer documents name are out of the method's reach.
 
 Three passes over the texts.  The first counts terms, entities and nominated
 pairs; pairs that n(t) and n(e) alone rule out go.  The second counts n(t, e) of
@@ -45,6 +48,8 @@ from tallyframe.llm.common import Scratch, free_name, ship
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, MIN_SUPPORT, REMOVE_BITS, GENERALISE_BITS = 6, 3, 1.0, 2.0
+#: Least information content of an entity to protect, and share of it that a disclosing term tells.
+MIN_BITS, TOLD = 2.0, 0.5
 #: Counts of one task are handed on when so many terms, entities and pairs are held.
 FLUSH = 200_000
 #: Size of the bitmaps, and of the blocks they are made of.
@@ -88,7 +93,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) by start, then kind as listed; offsets in code points, end exclusive."""
     spans = [(s, 0, e) for s, e in emails(text)]
     for m in _IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+        if all(len(x) <= 3 and int(x or 0) <= 255 for x in (part.lstrip("0") for part in m[0].split("."))):
             spans.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
@@ -269,7 +274,7 @@ def shape(term: str) -> str:
 
 
 def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT, remove_bits: float = REMOVE_BITS,
-         generalise_bits: float = GENERALISE_BITS) -> DataFrame:
+         generalise_bits: float = GENERALISE_BITS, min_bits: float = MIN_BITS, told: float = TOLD) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text): doc_id, version, n_<kind>, base, added, spans.
 
     ``version`` is xxhash64 of the text; ``base`` and ``added`` hold
@@ -287,6 +292,8 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
     most_bits = max(remove_bits, generalise_bits)
     counted = scratch.keep("counted", texts.mapInPandas(_count(window), Sums.SCHEMA), ("kind",))
     n_entity = counted.where("kind = 'entity'").groupBy("entity").agg(F.sum("n").alias("n_e")).where(F.col("n_e") >= min_support)
+    content = -F.log2(F.col("n_e") / F.lit(float(total)))
+    n_entity = n_entity.where(content >= min_bits)
     n_term = counted.where("kind = 'term'").groupBy("term").agg(F.sum("n").alias("n_t")).where(F.col("n_t") >= min_support)
     # n(t, e) is at most n(t) and n(e), so no other pair can disclose
     pairs = scratch.keep("pairs", counted.where("kind = 'pair'").select("entity", "term").distinct().join(n_entity, "entity").join(n_term, "term")
@@ -296,8 +303,8 @@ def find(docs: DataFrame, window: int = WINDOW, min_support: int = MIN_SUPPORT,
     together = scratch.keep("together", texts.mapInPandas(_together(marks(spark, wanted)), Sums.SCHEMA))
     n_both = together.groupBy("entity", "term").agg(F.sum("n").alias("n_te")).where(F.col("n_te") >= min_support)
     pmi = F.log2(F.col("n_te").cast("double") * F.lit(float(total)) / (F.col("n_t").cast("double") * F.col("n_e")))
-    left = -F.log2(F.col("n_e") / F.lit(float(total))) - pmi
-    disclosing = scratch.keep("disclosing", n_both.join(pairs, ["entity", "term"]).withColumn("bits", left).where(F.col("bits") <= most_bits)
+    disclosing = scratch.keep("disclosing", n_both.join(pairs, ["entity", "term"]).where(pmi >= told * content)
+                              .withColumn("bits", content - pmi).where(F.col("bits") <= most_bits)
                               .select("term", F.when(F.col("bits") <= remove_bits, "removed").otherwise("generalised").alias("verdict"))
                               .groupBy("term").agg(F.max("verdict").alias("verdict")))
     scratch.drop("pairs", "together")

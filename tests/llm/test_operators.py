@@ -92,6 +92,29 @@ def test_pii_disclosing_terms(spark, empty, dirty):
     assert pii.redact("ab cd", "generalised:0:2") == "[TERM] cd" and pii.redact(None, "") is None
 
 
+def test_pii_runs_of_zeros(spark):
+    """Parts of an address may have any number of zeros before them."""
+    zeros = "0" * 5000
+    for text in (zeros + ".1.1.1", f"1.{zeros}.{zeros}7.255", zeros + "256.1.1.1", "1" * 5000 + ".1.1.1", "000.00.0.0"):
+        want = [(0, 1, len(text))] if not text.startswith(zeros + "256") and text[0] + text[3] != "11" else []
+        assert [x for x in pii.base_spans(text) if x[1] == 1] == want
+    made = spark.createDataFrame([(1, zeros + ".1.1.1"), (2, "plain")], "doc_id long, text string")
+    assert rows(pii.find(made), "doc_id")[1]["n_ip"] == 1 and rows(pii.sanitise(made), "doc_id")[1]["text"] == "[IP]"
+
+
+@pytest.mark.parametrize("named", [36, 15])
+def test_pii_address_of_a_whole_site(spark, named):
+    """An address that many documents name takes no ordinary word with it, from no document; a rare one still does."""
+    footer = "please write to desk@site.example.org for help"
+    said = [(i, f"sold here today item{i} {footer if i < named else 'please write to us for help'}") for i in range(60)]
+    hidden = [(100 + i, "Zorblax z@only.example.org sold here today") for i in range(4)]
+    found = rows(pii.find(spark.createDataFrame(said + hidden, "doc_id long, text string")), "doc_id")
+    assert all(found[i]["added"] == "" for i in range(60))
+    assert all(found[100 + i]["added"] == "removed:0:7" for i in range(4))
+    clean = rows(pii.sanitise(spark.createDataFrame(said + hidden, "doc_id long, text string")), "doc_id")
+    assert [clean[i]["text"] for i in range(60)] == [t.replace("desk@site.example.org", "[EMAIL]") for _, t in said]
+
+
 def test_pii_long_text_of_many_entities(spark):
     """A term near thousands of entities is held once with its places; long runs of digits are read once."""
     text = " ".join(f"Contact u{i}@mail.example.org" for i in range(4000))
