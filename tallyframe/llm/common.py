@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyframe.plans.session import ensure_checkpoint_dir
 
@@ -67,6 +69,12 @@ class Scratch:
             fs.delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of stages whose results are written: it does when the driver finds them unreachable."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or the first of name_, name__, ... that no column of ``df`` has (case aside)."""
     taken = {c.lower() for c in df.columns}
@@ -80,6 +88,23 @@ def hash128(*cols) -> tuple:
     return F.xxhash64(*cols), F.xxhash64(F.lit("second"), *cols)
 
 
+def indexed(rows: DataFrame, group: str, order: list[str], scratch: Scratch, name: str) -> DataFrame:
+    """``rows`` with ``idx`` (from 0, by ``order`` within ``group``, which is not null) and ``n``, the group's size.
+
+    A range sort deals the rows out, so a group of any size spreads over the partitions; a row's number is its place
+    in its sorted partition and the rows of its group in earlier ones.
+    """
+    placed = (rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+              .withColumn("place", F.monotonically_increasing_id()))
+    placed = scratch.keep(name, placed).withColumn("part", F.shiftright("place", 33))
+    parts = placed.groupBy(group, "part").agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("rows"))
+    whole = Window.partitionBy(group)
+    earlier = F.coalesce(F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = parts.select(group, "part", (F.col("low") - earlier).alias("shift"), F.sum("rows").over(whole).alias("n"))
+    return (placed.join(shifts, [group, "part"]).withColumn("idx", F.col("place") - F.col("shift"))
+            .drop("place", "part", "shift"))
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, label: str, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the undirected ``edges`` (a, b); root is the smallest node reachable.
 

@@ -28,9 +28,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tallyframe.llm.common import LOWER, UPPER, Scratch
+from tallyframe.llm.common import LOWER, UPPER, Scratch, indexed
 
 FANOUT = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -51,19 +50,6 @@ def leaf(fields: dict[str, Column]) -> Column:
     return sha(*(framed(fields[name]) for name in FIELDS))
 
 
-def indexed(rows: DataFrame, group: str, order: list[str], scratch: Scratch, name: str) -> DataFrame:
-    """``rows`` with ``idx`` (from 0, by ``order`` within ``group``, which is not null) and ``n``, the group's size."""
-    placed = (rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-              .withColumn("place", F.monotonically_increasing_id()))
-    placed = scratch.keep(name, placed).withColumn("part", F.shiftright("place", 33))
-    parts = placed.groupBy(group, "part").agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("rows"))
-    whole = Window.partitionBy(group)
-    earlier = F.coalesce(F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shifts = parts.select(group, "part", (F.col("low") - earlier).alias("shift"), F.sum("rows").over(whole).alias("n"))
-    return (placed.join(shifts, [group, "part"]).withColumn("idx", F.col("place") - F.col("shift"))
-            .drop("place", "part", "shift"))
-
-
 def with_siblings(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
     """``nodes`` (grp, n, idx, digest, ...) with run, slot and the digests ``left`` and ``right`` of each in its run."""
     over = "OVER (PARTITION BY grp, run ORDER BY idx)"

@@ -23,9 +23,10 @@ always meet:
    repeats (the left end of a piece counts as differing, so nothing
    depends on how runs were cut).  A repeat longer than a piece is a chain of
    overlapping repeats of the pieces along it; their union is the same bytes.
-5. An anchor with over ``MEMBERS`` different pieces (the edges of a passage that a
-   great many documents quote) would not fit one task: its windows are grouped one
-   by one instead, with partial aggregation, which gives the same bytes.
+5. An anchor with over ``MEMBERS`` runs would not fit one task.  Its equal pieces collapse
+   in a grouped aggregate first; if over ``MEMBERS`` different ones are left (the edges of a
+   passage that a great many documents quote) its windows are grouped one by one
+   instead, with partial aggregation, which gives the same bytes.
 
 Defined results: null texts are empty; texts under ``LENGTH`` bytes repeat nothing;
 rows with one id are one document, so they take nothing from each other and
@@ -41,23 +42,31 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import Scratch, ship
-from tallyframe.llm.minhash import mix
+from tallyframe.llm.common import Scratch, hash128, release, ship
+from tallyframe.llm.minhash import mix, powers
 
 LENGTH, GRAM = 50, 16
 RUN = LENGTH - GRAM + 1
 MEMBERS = 4096
 #: Bytes of text that are looked at together, and suffixes sorted together.
-SLICE, SUFFIXES = 1 << 22, 1 << 17
+SLICE, SUFFIXES = 12 << 20, 1 << 17
+#: Texts that are looked at together at most (their numbers are sent as 16 bits).
+ROWS = 1 << 16
+#: Bytes that are hashed at once: arrays of eight bytes for each stay in a core's cache.
+BLOCK = 1 << 15
 LAST = 2**63 - 1
 
 _RNG = np.random.default_rng(20250612)
 _BYTE = _RNG.integers(1, 2**64, 256, dtype=np.uint64)
 _BASE = int(_RNG.integers(1, 2**62)) * 2 + 1
+_SPAN_BYTE = _RNG.integers(1, 2**64, (2, 256), dtype=np.uint64)
+_SPAN_BASE = _RNG.integers(1, 2**64, 2, dtype=np.uint64) | np.uint64(1)
+_UP = [powers(b, BLOCK + LENGTH + RUN + 1) for b in _SPAN_BASE]
+_DOWN = [powers(np.uint64(pow(int(b), -1, 2**64)), BLOCK + LENGTH + RUN + 1) for b in _SPAN_BASE]
 
 
 def rolled(raw: np.ndarray, size: int) -> np.ndarray:
@@ -84,95 +93,156 @@ def least(values: np.ndarray, size: int) -> np.ndarray:
     return run if have == size else np.minimum(run[:len(run) - (size - have)], run[size - have:])
 
 
-def runs(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each run of a text."""
-    if len(raw) < LENGTH:
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none
-    anchor = least(rolled(raw, GRAM), RUN)
-    first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-    count = np.diff(np.append(first, len(anchor)))
-    if (count > RUN).any():  # periodic text
-        parts = -(-count // RUN)
-        k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        end = np.repeat(first + count, parts)
-        first = np.repeat(first, parts) + k * RUN
-        count = np.minimum(end - first, RUN)
-    return anchor[first], first, count
+def unpacked(text: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(text)
 
 
-def slices(data: bytes):
-    """(offset, bytes) of stretches of at most ``SLICE`` windows that hold every window once."""
-    for at in range(0, max(len(data) - LENGTH + 1, 1), SLICE):
-        yield at, np.frombuffer(data, np.uint8, min(SLICE + LENGTH - 1, len(data) - at), at)
+def _pack_texts(batches):
+    """Texts compressed, as they are to be shuffled."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        yield batch.assign(text=[squeeze(t.encode()) if isinstance(t, str) else None for t in batch["text"]])
+
 
+def packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` compressed."""
+    types = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInPandas(_pack_texts, types)
 
-def _chunks(batches):
-    """Rows (id, version, bytes, ...), about ``SLICE`` bytes at a time, one of each id and version."""
-    rows, size = {}, 0
+
+def stretches(batches, more: int = 0):
+    """Texts as stretches (row, offset, bytes), about ``SLICE`` bytes of them at a time; a long text as several, which hold
+    every window once.  ``row`` is (id, version) and ``more`` further columns; a row that repeats at once counts once."""
+    held, size, last = [], 0, None
     for batch in batches:
-        for d, version, text, *more in batch.itertuples(index=False, name=None):
-            rows[d, version] = (d, version, text.encode(), *more)
-            size += len(text)
-            if size >= SLICE:
-                yield list(rows.values())
-                rows, size = {}, 0
-    if rows:
-        yield list(rows.values())
+        for d, version, text, *rest in batch.itertuples(index=False, name=None):
+            if (d, version) == last:
+                continue
+            last, data = (d, version), text.encode() if isinstance(text, str) else unpacked(text)
+            for at in range(0, max(len(data) - LENGTH + 1, 1), SLICE):
+                part = data[at:at + SLICE + LENGTH - 1]
+                held.append(((d, version, *rest), at, part))
+                size += len(part)
+                if size >= SLICE or len(held) >= ROWS:
+                    yield held
+                    held, size = [], 0
+    if held:
+        yield held
+
+
+def _block_runs(raw: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    inside = np.flatnonzero(owner[LENGTH - 1:] == owner[:len(raw) - LENGTH + 1])  # windows within one part
+    if not len(inside):
+        return ()
+    anchor = least(rolled(raw, GRAM), RUN)[inside]
+    new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1] + 1))))
+    first, anchor, count = inside[new], anchor[new], np.diff(np.append(new, len(inside)))
+    if (count > RUN).any():  # periodic text
+        times = -(-count // RUN)
+        k = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        end = np.repeat(first + count, times)
+        first, anchor = np.repeat(first, times) + k * RUN, np.repeat(anchor, times)
+        count = np.minimum(end - first, RUN)
+    return owner[first].astype(np.int64), first, count, anchor
+
+
+def runs(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes end to end, and of each run: part, first window (place in the bytes), number of windows, anchor."""
+    raw = np.frombuffer(b"".join(parts), np.uint8)
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+    found = []
+    for at in range(0, len(raw) - LENGTH + 1, BLOCK):
+        if block := _block_runs(raw[at:at + BLOCK + LENGTH - 1], owner[at:at + BLOCK + LENGTH - 1]):
+            found.append((block[0], block[1] + at, *block[2:]))
+    if not found:
+        none = np.zeros(0, np.int64)
+        return raw, none, none, none, none.astype(np.uint64)
+    return raw, *(np.concatenate(x) for x in zip(*found))
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two unrelated hashes of each of the ascending spans of bytes: sums of byte values by powers of a base, taken back to
+    the span's start."""
+    out = np.empty((2, len(start)), np.uint64)
+    edges = np.searchsorted(start, np.arange(0, len(raw) + BLOCK, BLOCK))
+    for k, (a, b) in enumerate(zip(edges, edges[1:])):
+        if a == b:
+            continue
+        block = raw[k * BLOCK:(k + 1) * BLOCK + LENGTH + RUN]
+        first, n = start[a:b] - k * BLOCK, size[a:b]
+        for j in range(2):
+            total = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum(_SPAN_BYTE[j][block] * _UP[j][:len(block)], out=total[1:])
+            out[j, a:b] = (total[first + n] - total[first]) * _DOWN[j][first]
+    return tuple(mix(x + size.astype(np.uint64)).astype(np.int64) for x in out)
 
 
 def _pack(values) -> bytes:
-    return np.asarray(values).tobytes()
+    return np.ascontiguousarray(values).tobytes()
 
 
-_ANCHORS = "bucket int, batch long, ids array<long>, versions array<long>, docs binary, hashes binary"
+def short_anchor(anchor: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 32 bits of an anchor's hash: two anchors that agree here by chance only cost a look at more pieces.
+
+    The lowest bit is left free, for whether the anchor is crowded.
+    """
+    return ((((anchor >> np.uint64(33)) % np.uint64(buckets)) << np.uint64(32)) | (anchor & np.uint64(0xFFFFFFFF))) << np.uint64(1)
+
+
+_ANCHORS = "bucket int, batch long, ids array<long>, versions array<long>, docs binary, times binary, hashes binary"
 
 
 def _anchors(buckets: int):
-    """Per chunk: a row for each bucket with one document for each anchor, and a row (bucket -1) that names the
-    documents and lists the anchors that several of them have."""
+    """Per batch of stretches: a row for each bucket with one stretch for each anchor and how many runs have it, and a
+    row (bucket -1) that names the stretches' texts and lists the anchors that several of them have."""
     def run(batches):
-        for chunk in _chunks(batches):
+        for held in stretches(batches):
             batch = uuid.uuid4().int >> 65
-            found = [np.unique(np.concatenate([runs(raw)[0] for _, raw in slices(data)])) for _, _, data in chunk]
-            hashes = np.concatenate(found)
-            docs = np.repeat(np.arange(len(found), dtype=np.uint32), [len(x) for x in found])
-            order = np.argsort(hashes, kind="stable")
-            hashes, docs = hashes[order], docs[order]
-            new = np.concatenate(([True], hashes[1:] != hashes[:-1]))[:len(hashes)]
-            first = np.flatnonzero(new)
-            several = np.repeat(np.diff(np.append(first, len(hashes))) > 1, np.diff(np.append(first, len(hashes))))
-            out = [(-1, batch, [r[0] for r in chunk], [r[1] for r in chunk], _pack(docs[several]), _pack(hashes[several]))]
-            hashes, docs = hashes[first], docs[first]
-            bucket = ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out += [(k, batch, None, None, _pack(docs[order[a:b]]), _pack(hashes[order[a:b]]))
+            _, part, _, _, anchor = runs([data for _, _, data in held])
+            hashes = short_anchor(anchor, buckets)
+            order = np.lexsort((part, hashes))
+            hashes, part = hashes[order], part[order]
+            first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))[:len(hashes)])
+            times = np.diff(np.append(first, len(hashes)))
+            pair = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (part[1:] != part[:-1])))[:len(part)]
+            several = pair & np.repeat(np.add.reduceat(pair, first) > 1 if len(first) else times, times)
+            docs = part.astype(np.uint16)
+            out = [(-1, batch, [r[0] for r, _, _ in held], [r[1] for r, _, _ in held], _pack(docs[several]), None, _pack(hashes[several]))]
+            hashes, docs, times = hashes[first], docs[first], np.minimum(times, 0xFFFF).astype(np.uint16)
+            edges = np.searchsorted(hashes, np.arange(buckets + 1).astype(np.uint64) << np.uint64(33))
+            low = (hashes >> np.uint64(1)).astype(np.uint32)
+            out += [(k, batch, None, None, _pack(docs[a:b]), _pack(times[a:b]), _pack(low[a:b]))
                     for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
-            yield pd.DataFrame(out, columns=["bucket", "batch", "ids", "versions", "docs", "hashes"])
+            yield pd.DataFrame(out, columns=["bucket", "batch", "ids", "versions", "docs", "times", "hashes"])
     return run
 
 
-def _in_several(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the anchors that several batches sent, handed back to each."""
-    hashes = np.frombuffer(b"".join(group["hashes"]), np.uint64)
-    docs = np.frombuffer(b"".join(group["docs"]), np.uint32)
-    source = np.repeat(np.arange(len(group)), [len(x) // 8 for x in group["hashes"]])
+def _in_several(group: pd.DataFrame, limit: int) -> pd.DataFrame:
+    """Of one bucket: the anchors that several batches sent, and those with over ``limit`` runs, handed back to each batch."""
+    hashes = np.frombuffer(b"".join(group["hashes"]), np.uint32)
+    docs = np.frombuffer(b"".join(group["docs"]), np.uint16)
+    times = np.frombuffer(b"".join(group["times"]), np.uint16)
+    source = np.repeat(np.arange(len(group)), [len(x) // 4 for x in group["hashes"]])
     order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    keep = np.zeros(len(hashes), bool)
-    keep[order] = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+    first = np.flatnonzero(np.concatenate(([True], hashes[order][1:] != hashes[order][:-1])))
+    batches = np.diff(np.append(first, len(hashes)))
+    crowded = np.add.reduceat(times[order].astype(np.int64), first) > limit
+    keep, flag = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
+    keep[order], flag[order] = np.repeat((batches > 1) | crowded, batches), np.repeat(crowded, batches)
     edges = np.searchsorted(source[keep], np.arange(len(group) + 1))
-    docs, hashes = docs[keep], hashes[keep]
+    whole = (hashes[keep].astype(np.uint64) | (np.uint64(group["bucket"].iloc[0]) << np.uint64(32))) << np.uint64(1)
+    docs, hashes = docs[keep], whole | flag[keep]
     return pd.DataFrame([(b, _pack(docs[x:y]), _pack(hashes[x:y])) for b, x, y in zip(group["batch"], edges, edges[1:]) if y > x],
                         columns=["batch", "docs", "hashes"])
 
 
 def _by_document(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one batch: each document with its anchors that others have too, ascending."""
+    """Of one batch: each stretch's text with its anchors that others have too, ascending."""
     names = group[group["bucket"] == -1].iloc[0]
-    docs = np.frombuffer(b"".join(group["docs"]), np.uint32)
+    docs = np.frombuffer(b"".join(group["docs"]), np.uint16)
     hashes = np.frombuffer(b"".join(group["hashes"]), np.uint64)
+    crowded = np.unique(hashes[hashes & np.uint64(1) > 0])
+    hashes = hashes | np.isin(hashes | np.uint64(1), crowded)  # in all texts of the batch
     order = np.lexsort((hashes, docs))
     docs, hashes = docs[order], hashes[order]
     edges = np.searchsorted(docs, np.arange(len(names["ids"]) + 1))
@@ -181,59 +251,96 @@ def _by_document(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` as (doc_id, d: the id, the largest number for null, version: a hash of the text, text)."""
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d"),
-                       F.xxhash64("text").alias("version"), "text")
-
-
-def shared_anchors(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """(d, version, shared): the anchors of each document that another one has too."""
-    buckets = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    sent = scratch.keep("anchors", rows.select("d", "version", "text").mapInPandas(_anchors(buckets), _ANCHORS))
-    back = sent.where("bucket >= 0").groupBy("bucket").applyInPandas(_in_several, "batch long, docs binary, hashes binary")
+    """``docs`` as (doc_id, d: the id, the largest number for null, version, text).
+
+    ``version`` tells texts of one id apart: a hash of the text, or 0 where all ids are different.
+    """
+    d = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("d")
+    alone = docs.groupBy(d).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    return docs.select("doc_id", d, (F.lit(0).cast("long") if alone else F.xxhash64("text")).alias("version"), "text")
+
+
+def equal_texts(long: DataFrame, scratch: Scratch) -> DataFrame:
+    """Of the texts that several ids have, the rows (d, version, n_bytes) but those of the least id: all their bytes repeat."""
+    h1, h2 = hash128("text")
+    texts = scratch.keep("texts", long.select("d", "version", h1.alias("h1"), h2.alias("h2"), F.octet_length("text").alias("n_bytes")))
+    first = texts.groupBy("h1", "h2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most")
+    copies = scratch.keep("copies", texts.join(first, ["h1", "h2"]).where("d > least").select("d", "version", "n_bytes").distinct())
+    scratch.drop("texts")
+    return copies
+
+
+def shared_anchors(long: DataFrame, copies: DataFrame, scratch: Scratch, limit: int = MEMBERS) -> DataFrame:
+    """(d, version, shared): the anchors of each text that another one has too; copies have no row."""
+    spark = long.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    sent = scratch.keep("anchors", long.select("d", "version", "text").mapInPandas(_anchors(buckets), _ANCHORS))
+    back = sent.where("bucket >= 0").groupBy("bucket").applyInPandas(lambda group: _in_several(group, limit), "batch long, docs binary, hashes binary")
     own = sent.where("bucket = -1")
     both = own.unionByName(back.withColumn("bucket", F.lit(0)), allowMissingColumns=True)
-    lists = both.groupBy("batch").applyInPandas(_by_document, "d long, version long, shared binary")
-    # A row that stands in several batches has all its anchors in each of them.
-    return scratch.keep("shared", lists.groupBy("d", "version").agg(F.max("shared").alias("shared")))
+    lists = both.groupBy("batch").applyInPandas(_by_document, "d long, version long, shared binary").join(copies, ["d", "version"], "left_anti")
+    kept = scratch.keep("shared", lists.groupBy("d", "version").agg(F.collect_set("shared").alias("shared")))
+    scratch.drop("anchors")
+    release(spark)
+    return kept
 
 
-_PIECES = "anchor long, p1 long, p2 long, d long, version long, starts binary, lengths binary, piece binary"
+_PIECES = "deal long, anchor long, d long, version long, starts binary, lengths binary, piece binary"
 
 
-def _pieces(collapse: bool):
-    """Per chunk: a row for each different piece with its places in the document of least id, and (``piece`` null) a row
-    for each document with its stretches that are equal to a piece of one with a smaller id."""
+def _pieces(buckets: int):
+    """Per batch of stretches: a row for each different piece with its places in the text of least id, and (``piece`` null) a
+    row for each text with its places that are equal to a piece of one with a smaller id."""
     def run(batches):
-        for chunk in _chunks(batches):
-            open_, gone = {}, {}
-            for d, version, data, shared in sorted(chunk, key=lambda r: r[:2]):
-                shared = np.frombuffer(shared, np.uint64)
-                for at, raw in slices(data):
-                    anchor, first, count = runs(raw)
-                    near = np.minimum(np.searchsorted(shared, anchor), len(shared) - 1)
-                    hit = np.flatnonzero(shared[near] == anchor)
-                    for a, s, n in zip(anchor[hit].tolist(), (first[hit] + at).tolist(), (count[hit] + LENGTH - 1).tolist()):
-                        piece = data[s:s + n]
-                        p = xxhash.xxh3_128_digest(piece)
-                        held = open_.setdefault((p, None) if collapse else (p, d, version), [])
-                        if held and collapse and held[0][1] < d:
-                            gone.setdefault((d, version), []).append((s, n))
-                        elif held and held[-1][1:3] == (d, version):
-                            held[-1][3].append(s)
-                        else:
-                            held.append((a, d, version, [s], piece))
-            out = [(np.uint64(a).astype(np.int64), *np.frombuffer(key[0], np.int64), d, version, _pack(starts), None, piece)
-                   for key, held in open_.items() for a, d, version, starts, piece in held]
-            out += [(0, 0, 0, d, version, _pack([x[0] for x in spans]), _pack([x[1] for x in spans]), None)
-                    for (d, version), spans in gone.items()]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")])
+        for held in stretches(batches, 1):
+            held.sort(key=lambda x: x[0][:2])
+            data = [x[2] for x in held]
+            raw, part, first, count, anchor = runs(data)
+            short, hit, crowd = short_anchor(anchor, buckets), np.zeros(len(anchor), bool), np.zeros(len(anchor), bool)
+            edges = np.searchsorted(part, np.arange(len(held) + 1))
+            for (row, _, _), a, b in zip(held, edges, edges[1:]):
+                known = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in row[2]])) if len(row[2]) > 1 else np.frombuffer(row[2][0], np.uint64)
+                near = known[np.minimum(np.searchsorted(known, short[a:b]), len(known) - 1)]
+                hit[a:b], crowd[a:b] = near | np.uint64(1) == short[a:b] | np.uint64(1), near & np.uint64(1)
+            hit = np.flatnonzero(hit)
+            part, first, size, anchor, crowd = part[hit], first[hit], count[hit] + LENGTH - 1, anchor[hit].astype(np.int64), crowd[hit]
+            p1, p2 = span_hashes(raw, first, size)
+            begin = np.cumsum([0, *map(len, data)])[:-1]
+            offset = np.array([x[1] for x in held], np.int64)
+            start = first - begin[part] + offset[part]
+            ids = np.array([x[0][0] for x in held], np.int64)
+            versions = np.array([x[0][1] for x in held], np.int64)
+            order = np.lexsort((start, versions[part], ids[part], p2, p1, anchor))  # like pieces together: they compress
+            part, first, size, anchor, crowd, start, p1, p2 = (x[order] for x in (part, first, size, anchor, crowd, start, p1, p2))
+            d, version = ids[part], versions[part]
+            piece = _changes(anchor, p1, p2)
+            least_id = np.repeat(d[piece], np.diff(np.append(np.flatnonzero(piece), len(p1))))
+            gone, stay = np.flatnonzero(d > least_id), np.flatnonzero(d == least_id)
+            text = piece | np.concatenate(([True], version[1:] != version[:-1]))[:len(p1)]
+            heads = np.flatnonzero(text[stay])
+            tails = np.append(heads[1:], len(stay))
+            row = stay[heads]
+            n = [start[stay[a:b]].tobytes() for a, b in zip(heads.tolist(), tails.tolist())]
+            whole = raw.tobytes()
+            cut = [whole[a:a + k] for a, k in zip(first[row].tolist(), size[row].tolist())]
+            # Pieces of one anchor meet; those of a crowded one (no ``anchor`` yet) are spread.
+            deal = np.where(crowd[row], p1[row], anchor[row])
+            yield pd.DataFrame({"deal": deal, "anchor": np.where(crowd[row], anchor[row], 0), "d": d[row], "version": version[row],
+                                "starts": n, "lengths": None, "piece": cut})
+            gone = gone[np.lexsort((version[gone], d[gone]))]
+            new = np.flatnonzero(np.concatenate(([True], (d[gone][1:] != d[gone][:-1]) | (version[gone][1:] != version[gone][:-1])))[:len(gone)])
+            ends = np.append(new[1:], len(gone))
+            yield pd.DataFrame({"deal": version[gone[new]], "anchor": np.zeros(len(new), np.int64), "d": d[gone[new]], "version": version[gone[new]],
+                                "starts": [start[gone[a:b]].tobytes() for a, b in zip(new, ends)],
+                                "lengths": [size[gone[a:b]].tobytes() for a, b in zip(new, ends)], "piece": None})
     return run
 
 
-def pieces(rows: DataFrame, shared: DataFrame, scratch: Scratch, collapse: bool = True) -> DataFrame:
-    found = rows.select("d", "version", "text").join(shared, ["d", "version"]).mapInPandas(_pieces(collapse), _PIECES)
-    return scratch.keep("pieces", found)
+def pieces(long: DataFrame, shared: DataFrame) -> DataFrame:
+    buckets = max(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # Rows that repeat are next to each other after this join, as it sorts by its keys.
+    joined = packed(long.select("d", "version", "text")).join(shared.hint("merge"), ["d", "version"])
+    return joined.mapInPandas(_pieces(buckets), _PIECES)
 
 
 def enhanced_array(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -266,6 +373,9 @@ def interval_tree(common: np.ndarray, first: int, last: int) -> list[tuple[int,
 
 def maximal_repeats(members: list[bytes]):
     """(member, offset) of suffixes by rank, and the maximal repeats of ``members`` as arrays depth, left, right of ranks."""
+    none = np.zeros(0, np.int64)
+    if not members:
+        return none, none, none, none, none
     data = np.frombuffer(b"".join(members), np.uint8)
     length = np.array([len(m) for m in members])
     base = np.cumsum(length) - length
@@ -276,7 +386,6 @@ def maximal_repeats(members: list[bytes]):
     seen, back, times = np.unique(rolled(data, LENGTH)[start], return_inverse=True, return_counts=True)
     keep = times[back] > 1
     member, offset, start = member[keep], offset[keep], start[keep]
-    none = np.zeros(0, np.int64)
     if not len(member):
         return member, offset, none, none, none
     order, common = enhanced_array(data, start, (length[member] - offset))
@@ -295,71 +404,117 @@ def maximal_repeats(members: list[bytes]):
     return member, offset, depth[diverse], first[diverse], last[diverse]
 
 
-def _arrays(batches):
-    """Candidates by anchor, whole anchors together, about ``SUFFIXES`` suffixes at a time."""
-    held, size = [], 0
+_GONE = "d long, version long, starts binary, shift int, length int, lengths binary"
+_RESOLVED = f"{_GONE}, anchor long, piece binary"
+
+
+def _lots(batches):
+    """Pieces sorted by anchor (``deal``), whole anchors together, about ``SUFFIXES`` suffixes at a time."""
+    held, size = None, 0
     for batch in batches:
-        for row in batch.to_dict("records"):
-            if size >= SUFFIXES and row["anchor"] != held[-1]["anchor"]:
-                yield held
-                held, size = [], 0
-            held.append(row)
-            size += len(row["piece"]) - LENGTH + 1
-    if held:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        size += int(batch["piece"].map(len).sum()) - (LENGTH - 1) * len(batch)
+        if size >= SUFFIXES:
+            anchor = held["deal"].to_numpy()
+            edge = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
+            if edge:
+                yield held.iloc[:edge]
+                held = held.iloc[edge:].reset_index(drop=True)
+                size = int(held["piece"].map(len).sum()) - (LENGTH - 1) * len(held)
+    if held is not None and len(held):
         yield held
 
 
-_GONE = "d long, version long, starts binary, shift int, length int, lengths binary"
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
 
 
-def _repeats_removed(batches):
-    """Per piece: the maximal repeats that also occur in a document with a smaller id."""
-    for rows in _arrays(batches):
-        member, offset, depth, first, last = maximal_repeats([r["piece"] for r in rows])
-        owner = np.array([r["d"] for r in rows], np.int64)[member]
+def _resolve(batches):
+    """Of pieces sorted by anchor, bytes and id: the places of a piece in all texts but the one of least id, and of each
+    different piece the maximal repeats that a text of smaller id has too.  Other rows pass."""
+    names = [c.split()[0] for c in _RESOLVED.split(", ")]
+    passed = []
+
+    def pieces_of_anchors():
+        for batch in batches:
+            here = batch["piece"].notna() & (batch["anchor"] == 0)
+            if not here.all():
+                passed.append(batch[~here].assign(shift=0, length=0)[names])
+            yield batch[here].reset_index(drop=True)
+
+    for lot in _lots(pieces_of_anchors()):
+        yield from passed
+        passed.clear()
+        anchor, d, version = (lot[c].to_numpy() for c in ("deal", "d", "version"))
+        starts, piece = lot["starts"].tolist(), lot["piece"].tolist()
+        new = _changes(anchor)
+        new[1:] |= np.fromiter((x != y for x, y in zip(piece, piece[1:])), bool, len(piece) - 1)
+        kind = np.cumsum(new) - 1
+        head = np.flatnonzero(new)
+        gone = np.flatnonzero(d > d[head][kind])
+        out = [(d[gone], version[gone], [starts[i] for i in gone], np.zeros(len(gone), np.int64), np.array([len(piece[i]) for i in gone], np.int64))]
+        group = np.cumsum(_changes(anchor[head])) - 1
+        several = np.flatnonzero(np.bincount(group)[group] > 1)  # kinds whose anchor has others
+        member, offset, depth, first, last = maximal_repeats([piece[i] for i in head[several]])
+        owner = d[head[several]][member]
         cover = np.zeros(len(member), np.int64)
         two = last - first == 1
-        a, b, long = first[two], last[two], depth[two]
-        for x, y in ((a, b), (b, a)):
+        for x, y in ((first[two], last[two]), (last[two], first[two])):
             later = owner[x] > owner[y]
-            cover[x[later]] = np.maximum(cover[x[later]], long[later])
+            cover[x[later]] = np.maximum(cover[x[later]], depth[two][later])
         rest = np.flatnonzero(~two)
-        for k in rest[np.argsort(depth[rest], kind="stable")]:
-            ranks = slice(first[k], last[k] + 1)
-            inside = owner[ranks]
-            later = inside > inside.min()
-            cover[ranks][later] = np.maximum(cover[ranks][later], depth[k])
+        for a, b, long in zip(first[rest].tolist(), last[rest].tolist(), depth[rest].tolist()):
+            inside = owner[a:b + 1]
+            later = a + np.flatnonzero(inside > inside.min())
+            cover[later] = np.maximum(cover[later], long)
         hit = np.flatnonzero(cover)
-        yield pd.DataFrame([(rows[m]["d"], rows[m]["version"], rows[m]["starts"], o, n, None)
-                            for m, o, n in zip(member[hit].tolist(), offset[hit].tolist(), cover[hit].tolist())],
-                           columns=[c.split()[0] for c in _GONE.split(", ")])
-
-
-def by_anchor(candidates: DataFrame) -> DataFrame:
-    """Rows dealt out by anchor and sorted by it, so that an anchor's rows follow each other in one task."""
-    return candidates.repartition("anchor").sortWithinPartitions("anchor")
-
-
-def judged(found: DataFrame) -> DataFrame:
-    """Open pieces with ``least``, the smallest id that has the piece, and ``members``, how many pieces its anchor has."""
-    kinds = found.where("piece is not null").groupBy("anchor", "p1", "p2").agg(F.min("d").alias("least"))
+        # Rows of the least id: one for each text and stretch that has the piece there.
+        rows = np.flatnonzero(d == d[head][kind])
+        begin = np.searchsorted(kind[rows], np.arange(len(head) + 1))
+        which = several[member[hit]]
+        times = begin[which + 1] - begin[which]
+        step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        row = rows[np.repeat(begin[which], times) + step]
+        out.append((d[row], version[row], [starts[i] for i in row], np.repeat(offset[hit], times), np.repeat(cover[hit], times)))
+        for columns in out:
+            yield pd.DataFrame(dict(zip(names, columns))).assign(lengths=None, anchor=0, piece=None)
+    yield from passed
+
+
+def resolved(found: DataFrame) -> DataFrame:
+    """``found`` dealt out by anchor and sorted, so that an anchor's rows follow each other in one task, and resolved there."""
+    dealt = found.repartition("deal").sortWithinPartitions("deal", "piece", "d")
+    return dealt.mapInPandas(_resolve, _RESOLVED)
+
+
+def crowded_removed(hot: DataFrame, limit: int = MEMBERS) -> DataFrame:
+    """The same for the pieces of crowded anchors: equal ones collapse by an aggregate first, and what is still too much
+    for one task goes by windows."""
+    flat = [c.split()[0] for c in _GONE.split(", ")]
+    kinds = hot.groupBy("anchor", "piece").agg(F.min("d").alias("least"))
     members = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
-    return found.where("piece is not null").join(kinds.join(members, "anchor"), ["anchor", "p1", "p2"])
+    known = hot.join(kinds.join(members, "anchor"), ["anchor", "piece"])
+    equal = known.where("d > least").withColumn("length", F.octet_length("piece"))
+    some = known.where(f"d = least and members between 2 and {limit}").withColumn("deal", F.col("anchor")).withColumn("anchor", F.lit(0).cast("long"))
+    in_array = resolved(some.select([c.split()[0] for c in _PIECES.split(", ")]))
+    windows = windows_removed(known.where(f"d = least and members > {limit}"))
+    return reduce(DataFrame.unionByName, (x.select(*flat) for x in (equal, in_array, windows)))
 
 
-def removed(found: DataFrame, scratch: Scratch) -> DataFrame:
+def removed(found: DataFrame, copies: DataFrame, scratch: Scratch, limit: int = MEMBERS) -> DataFrame:
     """(d, version, starts, shift, length, lengths): stretches that occur in a document with a smaller id."""
     flat = [c.split()[0] for c in _GONE.split(", ")]
-    known = scratch.keep("judged", judged(found))
-    nothing = F.lit(None).cast("binary").alias("lengths")
-    local = found.where("piece is null").select("d", "version", "starts", F.lit(0).alias("shift"), F.lit(0).alias("length"), "lengths")
-    equal = known.where("d > least").select("d", "version", "starts", F.lit(0).alias("shift"),
-                                            F.octet_length("piece").alias("length"), nothing)
-    first = known.where("d = least and members > 1").select("anchor", "d", "version", "starts", "piece", "members").distinct()
-    first = scratch.keep("first", first)
-    in_array = by_anchor(first.where(f"members <= {MEMBERS}").drop("members")).mapInPandas(_repeats_removed, _GONE)
-    windows = windows_removed(first.where(f"members > {MEMBERS}"))
-    return reduce(DataFrame.unionByName, (x.select(*flat) for x in (local, equal, in_array, windows)))
+    known = scratch.keep("resolved", resolved(found))
+    release(copies.sparkSession)
+    start = F.unhex(F.lit("00" * 8)).alias("starts")
+    whole = copies.select("d", "version", start, F.lit(0).alias("shift"), F.col("n_bytes").alias("length"), F.lit(None).cast("binary").alias("lengths"))
+    hot = scratch.keep("crowded", crowded_removed(known.where("piece is not null"), limit))
+    return reduce(DataFrame.unionByName, (x.select(*flat) for x in (known.where("piece is null"), whole, hot)))
 
 
 def windows_removed(crowded: DataFrame) -> DataFrame:
@@ -393,7 +548,7 @@ def cut(batches):
     for batch in batches:
         out = []
         for doc_id, text, parts in zip(batch["doc_id"], batch["text"], batch["parts"]):
-            data = text.encode() if isinstance(text, str) else b""
+            data = unpacked(text) if text is not None else b""
             spans = _merged(parts, len(data)) if parts is not None else []
             edges = [0, *(x for s in spans for x in s), len(data)]
             kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -402,17 +557,20 @@ def cut(batches):
         yield pd.concat([batch[["doc_id"]].reset_index(drop=True), figures], axis=1)
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept``, the bytes that stay."""
+def dedup_passages(docs: DataFrame, limit: int = MEMBERS) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and ``kept``, the bytes that stay.
+
+    ``limit`` is how many pieces of an anchor go into one suffix array; it bounds memory and changes no result.
+    """
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "suffix")
     rows = keyed(docs)
     long = rows.where(F.octet_length("text") >= LENGTH)
-    shared = shared_anchors(long, scratch)
-    found = pieces(long, shared, scratch)
-    spans = removed(found, scratch).groupBy("d", "version").agg(
-        F.collect_list(F.struct("starts", "shift", "length", "lengths")).alias("parts"))
+    copies = equal_texts(long, scratch)
+    found = pieces(long, shared_anchors(long, copies, scratch, limit))
+    gone = removed(found, copies, scratch, limit)
+    spans = gone.groupBy("d", "version").agg(F.collect_list(F.struct("starts", "shift", "length", "lengths")).alias("parts"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.join(spans, ["d", "version"], "left").select("doc_id", "text", "parts").mapInPandas(
+    return packed(rows).join(spans, ["d", "version"], "left").select("doc_id", "text", "parts").mapInPandas(
         cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -7,6 +7,7 @@ import zlib
 from itertools import permutations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ def test_merkle_manifest(spark, docs, dirty, empty):
     assert merkle.manifest(empty).count() == 0
 
 
-@pytest.mark.parametrize("n", [1, 15, 16, 17, 256, 257, 4097])
+@pytest.mark.parametrize("n", [1, 16, 17, 257, 4097])
 def test_merkle_tree_sizes(spark, n):
     """One group of n rows: lone leaves, full runs, runs of one node, three and four levels."""
     made = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("Text").alias("text"), F.lit("en").alias("lang"),
@@ -158,34 +159,59 @@ def quoting(spark, copies=40):
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
-@pytest.mark.parametrize("members", [suffix.MEMBERS, 1])
-def test_passages(spark, docs, dirty, empty, members, monkeypatch):
-    """Both ways for an anchor's pieces: one suffix array, and window by window."""
-    monkeypatch.setattr(suffix, "MEMBERS", members)
+@pytest.mark.parametrize("limit", [suffix.MEMBERS, 4, 1])
+def test_passages(spark, docs, dirty, empty, limit):
+    """All ways for an anchor's pieces: one suffix array, one after equal pieces have collapsed, and window by window."""
     for table in (dirty, quoting(spark)):
-        assert figures(suffix.dedup_passages(table)) == brute_cut(table.collect())
-    assert suffix.dedup_passages(empty).count() == 0
-    if members > 1:
-        assert figures(registry.op12(spark, SF_SMALL)) == brute_cut(docs.collect())
+        assert figures(suffix.dedup_passages(table, limit)) == brute_cut(table.collect())
+    assert suffix.dedup_passages(empty, limit).count() == 0
+    if limit == suffix.MEMBERS:
+        assert figures(suffix.dedup_passages(docs)) == brute_cut(docs.collect())
 
 
-def test_passages_in_slices_and_small_arrays(spark, dirty, monkeypatch):
-    """Long texts are cut into slices and anchors dealt over several arrays; batches hold few rows."""
-    chunks = [[(1, 0, b"x" * 300), (2, 0, b"y")], [(1, 0, b"z")]]
-    assert [len(suffix.slices(d).__next__()[1]) for _, _, d in chunks[0]] == [300, 1]
+def test_stretches_and_runs(monkeypatch):
+    """Long texts are cut into stretches that hold every window once; runs hold every window of every part once."""
     monkeypatch.setattr(suffix, "SLICE", 64)
-    monkeypatch.setattr(suffix, "SUFFIXES", 8)
-    data = bytes(range(256)) * 3
-    whole = {bytes(raw[k:k + 50]) for _, raw in suffix.slices(data) for k in range(len(raw) - 49)}
-    assert whole == {data[k:k + 50] for k in range(len(data) - 49)} and len(list(suffix.slices(data))) == 12
-    # The functions run here as in a task: the patched sizes hold.
-    import pandas as pd
-    rows = [(r["doc_id"] or 99, k, r["text"]) for k, r in enumerate(dirty.collect()) if r["text"]]
-    every = np.unique(np.concatenate([suffix.runs(np.frombuffer(t.encode(), np.uint8))[0] for _, _, t in rows])
-                      if False else np.concatenate([suffix.runs(raw)[0] for _, _, t in rows for _, raw in suffix.slices(t.encode())]))
-    frame = pd.DataFrame([(d, v, t, every.tobytes()) for d, v, t in rows], columns=["d", "version", "text", "shared"])
-    found = pd.concat(suffix._pieces(True)([frame]))
-    assert found["piece"].dropna().map(len).max() <= suffix.RUN + suffix.LENGTH - 1
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abc") for _ in range(n)) for n in (400, 49, 50, 51, 113, 114, 0)] + ["a" * 300, "ab" * 90 + "\0" * 80]
+    frame = pd.DataFrame({"d": range(9), "version": 0, "text": texts})
+    lots = list(suffix.stretches([frame, frame.tail(1)]))  # the last row comes twice at once: it counts once
+    held = [x for lot in lots for x in lot]
+    for k, t in enumerate(texts):
+        at = [(o + i, data[i:i + 50]) for (d, _), o, data in held if d == k for i in range(len(data) - 49)]
+        assert sorted(at) == [(i, t.encode()[i:i + 50]) for i in range(len(t) - 49)]
+    for lot in lots:
+        parts = [data for _, _, data in lot]
+        raw, part, first, count, anchor = suffix.runs(parts)
+        begin = np.cumsum([0, *map(len, parts)])
+        windows = [(p, f - begin[p] + i) for p, f, c in zip(part, first, count) for i in range(c)]
+        assert sorted(windows) == [(p, i) for p, x in enumerate(parts) for i in range(len(x) - 49)]
+        assert not len(count) or count.max() <= suffix.RUN
+        by_text = {}
+        for p, f, c, a in zip(part, first, count, anchor):
+            for i in range(c):
+                assert by_text.setdefault(raw[f + i:f + i + 50].tobytes(), a) == a  # equal windows, equal anchors
+
+
+def test_pieces_of_one_batch():
+    """Pieces collapse to the least id; what a larger id has of them is gone, at all its places."""
+    said = bytes(random.Random(1).choices(b"abcdefg", k=200)).decode()
+    rows = [(7, 1, "x" * 60 + said), (3, 1, said + "-" + said), (9, 1, said[:120]), (9, 2, "q" + said[:120])]
+    raw, part, first, count, anchor = suffix.runs([t.encode() for _, _, t in rows])
+    every = [np.unique(suffix.short_anchor(anchor, 4)).tobytes()]
+    frame = pd.DataFrame([(d, v, t, every) for d, v, t in rows], columns=["d", "version", "text", "shared"])
+    found = pd.concat(suffix._pieces(4)([frame]))
+    texts = {(d, v): t.encode() for d, v, t in rows}
+    for r in found.to_dict("records"):
+        starts = np.frombuffer(r["starts"], np.int64)
+        if r["piece"] is not None:
+            assert all(texts[r["d"], r["version"]][s:s + len(r["piece"])] == r["piece"] for s in starts) and 50 <= len(r["piece"]) <= 84
+        else:
+            for s, n in zip(starts, np.frombuffer(r["lengths"], np.int64)):
+                cut = texts[r["d"], r["version"]][s:s + n]
+                assert any(cut in t for (d, _), t in texts.items() if d < r["d"])
+    opened = found[found["piece"].notna()]
+    assert opened.groupby("piece")["d"].nunique().max() == 1
 
 
 def test_maximal_repeats_against_all_pairs():
