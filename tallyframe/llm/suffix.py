@@ -42,6 +42,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -288,9 +289,10 @@ def shared_anchors(long: DataFrame, copies: DataFrame, scratch: Scratch, limit:
 _PIECES = "deal long, anchor long, d long, version long, starts binary, lengths binary, piece binary"
 
 
-def _pieces(buckets: int):
+def _pieces(buckets: int, collapse: bool = True):
     """Per batch of stretches: a row for each different piece with its places in the text of least id, and (``piece`` null) a
-    row for each text with its places that are equal to a piece of one with a smaller id."""
+    row for each text with its places that are equal to a piece of one with a smaller id.  Without ``collapse``, a row for each
+    different piece of each text."""
     def run(batches):
         for held in stretches(batches, 1):
             held.sort(key=lambda x: x[0][:2])
@@ -315,8 +317,9 @@ def _pieces(buckets: int):
             d, version = ids[part], versions[part]
             piece = _changes(anchor, p1, p2)
             least_id = np.repeat(d[piece], np.diff(np.append(np.flatnonzero(piece), len(p1))))
-            gone, stay = np.flatnonzero(d > least_id), np.flatnonzero(d == least_id)
-            text = piece | np.concatenate(([True], version[1:] != version[:-1]))[:len(p1)]
+            later = (d > least_id) & collapse
+            gone, stay = np.flatnonzero(later), np.flatnonzero(~later)
+            text = piece | _changes(d, version)
             heads = np.flatnonzero(text[stay])
             tails = np.append(heads[1:], len(stay))
             row = stay[heads]
@@ -336,11 +339,11 @@ def _pieces(buckets: int):
     return run
 
 
-def pieces(long: DataFrame, shared: DataFrame) -> DataFrame:
+def pieces(long: DataFrame, shared: DataFrame, collapse: bool = True) -> DataFrame:
     buckets = max(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     # Rows that repeat are next to each other after this join, as it sorts by its keys.
     joined = packed(long.select("d", "version", "text")).join(shared.hint("merge"), ["d", "version"])
-    return joined.mapInPandas(_pieces(buckets), _PIECES)
+    return joined.mapInPandas(_pieces(buckets, collapse), _PIECES)
 
 
 def enhanced_array(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -529,6 +532,77 @@ def windows_removed(crowded: DataFrame) -> DataFrame:
             .select("d", "version", "starts", "shift", F.lit(LENGTH).alias("length"), F.lit(None).cast("binary").alias("lengths")))
 
 
+_GROUPS = "repeat long, length int, d long, version long, starts binary, shift int, anchor long, piece binary"
+
+
+def _group_rows(batches):
+    """Of pieces sorted by anchor, bytes and id: each maximal repeat with every text that has it; other rows pass."""
+    names = [c.split()[0] for c in _GROUPS.split(", ")]
+    passed = []
+
+    def pieces_of_anchors():
+        for batch in batches:
+            here = batch["anchor"] == 0
+            if not here.all():
+                passed.append(batch[~here].assign(repeat=0, length=0, shift=0)[names])
+            yield batch[here].reset_index(drop=True)
+
+    for lot in _lots(pieces_of_anchors()):
+        yield from passed
+        passed.clear()
+        anchor, d, version = (lot[c].to_numpy() for c in ("deal", "d", "version"))
+        starts, piece = lot["starts"].tolist(), lot["piece"].tolist()
+        new = _changes(anchor)
+        new[1:] |= np.fromiter((x != y for x, y in zip(piece, piece[1:])), bool, len(piece) - 1)
+        head = np.append(np.flatnonzero(new), len(piece))
+        members = [piece[i] for i in head[:-1]]
+        member, offset, depth, first, last = maximal_repeats(members)
+        groups = [(m[o:o + n], [(int(member[r]), int(offset[r])) for r in range(a, b + 1)])
+                  for m, o, n, a, b in zip((members[member[a]] for a in first), offset[first].tolist(), depth.tolist(), first.tolist(), last.tolist())]
+        # A piece that no other one holds whole is a repeat of its own if it occurs twice.
+        held = {g[0] for g in groups}
+        groups += [(m, [(k, 0)]) for k, m in enumerate(members) if m not in held and (head[k + 1] - head[k] > 1 or len(starts[head[k]]) > 8)]
+        out = [(xxhash.xxh3_64_intdigest(text) - 2**63, len(text), d[i], version[i], starts[i], o, 0, None)
+               for text, places in groups for k, o in places for i in range(head[k], head[k + 1])]
+        yield pd.DataFrame(out, columns=names)
+    yield from passed
+
+
+def repeat_groups(docs: DataFrame, limit: int = MEMBERS) -> DataFrame:
+    """Passages of ``LENGTH`` bytes or more that several texts have, with all occurrences: (repeat, length, doc_id, start),
+    ``start`` in bytes.
+
+    ``repeat`` is a hash of the passage.  Repeats are maximal within pieces (a longer passage is a chain of them), those of
+    anchors with over ``limit`` runs are given window by window.  An occurrence stands once for each time its text is in
+    the table under an id; rows that repeat as a whole count once.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    scratch = Scratch(spark, "repeats")
+    rows = keyed(docs)
+    long = rows.where(F.octet_length("text") >= LENGTH)
+    nothing = long.select("d", "version").limit(0)
+    found = pieces(long, shared_anchors(long, nothing, scratch, limit), False)
+    known = scratch.keep("groups", found.repartition("deal").sortWithinPartitions("deal", "piece", "d").mapInPandas(_group_rows, _GROUPS))
+    hot = known.where("piece is not null")
+    windows = hot.select("d", "version", "starts", "piece", F.explode(F.sequence(F.lit(0), F.octet_length("piece") - LENGTH)).alias("shift"))
+    text = F.substring(F.col("piece"), F.col("shift") + 1, F.lit(LENGTH))
+    windows = windows.select(F.xxhash64(text).alias("repeat"), F.lit(LENGTH).alias("length"), "d", "version", "starts", "shift")
+    listed = known.where("piece is null").select(windows.columns).unionByName(windows)
+    places = listed.mapInPandas(_places, "repeat long, length int, d long, version long, start long").distinct()
+    several = places.groupBy("repeat", "length").agg(F.count_distinct("d", "version").alias("n")).where("n > 1").drop("n")
+    ids = long.select("doc_id", "d", "version").distinct()
+    return places.join(several, ["repeat", "length"]).join(ids, ["d", "version"]).select("repeat", "length", "doc_id", "start")
+
+
+def _places(batches):
+    for batch in batches:
+        spots = [np.frombuffer(x, np.int64) for x in batch["starts"]]
+        times = [len(x) for x in spots]
+        start = (np.concatenate(spots) if spots else np.zeros(0, np.int64)) + np.repeat(batch["shift"].to_numpy(np.int64), times)
+        yield pd.DataFrame({c: np.repeat(batch[c].to_numpy(), times) for c in ("repeat", "length", "d", "version")}).assign(start=start)
+
+
 def _merged(parts, size: int) -> list[tuple[int, int]]:
     """Maximal stretches that the parts cover."""
     spans = []

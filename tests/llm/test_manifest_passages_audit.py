@@ -238,6 +238,44 @@ def test_maximal_repeats_against_all_pairs():
     assert got == {s: p for s, p in want.items() if maximal(s, p)}
 
 
+def brute_windows(rows):
+    """Every window of 50 bytes that several texts have: its places."""
+    seen = {}
+    for doc_id, text in {(r["doc_id"], r["text"] or "") for r in rows}:
+        data = text.encode()
+        for k in range(len(data) - 49):
+            seen.setdefault(data[k:k + 50], set()).add((doc_id, text, k))
+    return {w: {(d, k) for d, _, k in p} for w, p in seen.items() if len({x[:2] for x in p}) > 1}
+
+
+@pytest.mark.parametrize("limit", [suffix.MEMBERS, 1])
+def test_repeat_groups(spark, dirty, limit):
+    """Groups hold equal bytes, all their occurrences, and between them every window that repeats."""
+    table = quoting(spark).unionByName(spark.createDataFrame([(100, SAME), (101, SAME), (102, "x" * 200)], "doc_id long, text string"))
+    rows = table.collect()
+    texts = {}
+    for r in rows:
+        texts.setdefault(r["doc_id"], []).append((r["text"] or "").encode())
+    groups = {}
+    for r in suffix.repeat_groups(table, limit).collect():
+        groups.setdefault((r["repeat"], r["length"]), set()).add((r["doc_id"], r["start"]))
+    want, got = brute_windows(rows), set()
+    for (_, n), places in groups.items():
+        cuts = [{t[s:s + n] for t in texts[d]} for d, s in places]
+        common = set.intersection(*cuts)
+        assert len(places) > 1 and len(common) == 1 and n >= 50
+        passage = common.pop()
+        for k in range(n - 49):
+            w = passage[k:k + 50]
+            got.add(w)
+            if w in want:
+                assert {(d, s + k) for d, s in places} <= want[w]
+        if limit == 1:
+            assert places == want[passage]  # window by window, all occurrences
+    assert set(want) <= got
+    assert suffix.repeat_groups(table.limit(0)).count() == 0
+
+
 # op13
 
 def brute_audit(docs, labels):
