@@ -5,7 +5,7 @@ Features are the 1- to 3-grams of the lower-cased text's code points, hashed to
 labelled rows of each language (rows whose hashed id falls under a rate; the
 bound is a parameter) by counting n-grams in the tasks; the counts, languages x
 buckets at most, make the log-probability matrix that is broadcast.  Scoring is
-numpy over concatenated texts in bounded pieces: a gather of matrix rows and a
+numpy, text by text in bounded pieces: a gather of matrix rows and a
 sum per text.  Texts are read whole.
 
 ``in_language`` keeps the documents that have a language.  Its evidence is the

@@ -5,7 +5,8 @@ Under every permutation both the minimum and the maximum of a set are kept, so
 ``PERMUTATIONS`` hash evaluations give twice as many signature values, each
 equal for two sets with the probability of their similarity.  ``BANDS`` bands of
 ``ROWS`` values are hashed to band keys; sets of the wanted similarity share one
-but for a chance of (1 - 0.75^5)^64 = 3e-8, more similar ones sooner.
+but for a chance of (1 - 0.75^5)^64 = 3e-8 (sets of a few shingles, whose minimum and
+maximum hang together, up to about 2e-6), more similar ones sooner.
 
 1. Equal sets become one class; its smallest id stands for it from here on.
 2. Classes that share a band key and agree in size and in a sketch of 512 bits
