@@ -265,6 +265,25 @@ def test_utf8_stream():
 
 # op6
 
+def test_packing_token_ids_are_the_tokenizers(docs):
+    """Both ways to the ids agree with the library of the file: on all texts, on characters of every kind, on long runs."""
+    from tokenizers import Tokenizer
+
+    def library(path):
+        own = Tokenizer.from_file(path)
+        own.encode_special_tokens = True
+        return lambda text: own.encode(text, add_special_tokens=False).ids
+
+    path, other = registry.vocabulary("byte_bpe_50k.json"), registry.vocabulary("word_bpe_49k.json")
+    assert packing.byte_level_ranks(path) is not None and packing.byte_level_ranks(other) is None
+    chars = [chr(c) for c in range(1, 0x30000, 41) if not 0xD800 <= c <= 0xDFFF] + [chr(c) for c in range(0x3000)]
+    mixed = [" ".join(f"a{c}b1{c} {c}{c} '{c}s!{c}" for c in chars[k:k + 500]) + "\n ".join(chars[k:k + 500]) for k in range(0, len(chars), 500)]
+    texts = [r["text"] or "" for r in docs.collect()] + mixed + ["", "<|endoftext|> x", " " * 5000 + "x", "a" * 20_000, "\r\n\t \u3000\x85 it's we'LL"]
+    for file, some in ((path, texts), (other, texts[:20])):
+        encode, plain = packing.token_ids(file), library(file)
+        assert all(np.frombuffer(encode(t), "<u4").tolist() == plain(t) for t in some)
+
+
 def test_packing(spark, docs, dirty, empty):
     from tokenizers import Tokenizer
 
@@ -292,6 +311,13 @@ def test_packing(spark, docs, dirty, empty):
             assert at <= size
         least = -(-sum(r["length"] for r in out) // size)
         assert len(held) <= 1.05 * least + 1
+        gaps = []  # plain best fit, longest first
+        for n in sorted((r["length"] for r in out), reverse=True):
+            fit = min((g for g in gaps if g >= n), default=None)
+            if fit is not None:
+                gaps.remove(fit)
+            gaps.append((size if fit is None else fit) - n)
+        assert sorted(size - sum(n for _, n in places) for places in held.values()) == sorted(gaps)
     assert packing.pack(empty, path).count() == 0
 
 
@@ -416,6 +442,21 @@ def test_near_duplicates_on_documents(spark, docs):
 
 # op10
 
+def test_warc_damaged_record(spark, docs):
+    pages = spark.createDataFrame([(k, f"http://a.example/{k}", "x" * 200 + str(k)) for k in range(5)], "page_id long, url string, html string")
+    archives = warc.write_archives(pages)
+    assert warc.sound(warc.read_archives(archives)).count() == 5
+
+    def spoil(batches):
+        for batch in batches:
+            yield batch.assign(member=[gzip.compress(gzip.decompress(m).replace(b"xxx3", b"yyy3")) for m in batch["member"]])
+
+    spoilt = warc.read_archives(archives.mapInPandas(spoil, archives.schema))
+    assert spoilt.where("not intact").count() == 1
+    with pytest.raises(Exception, match="damaged record at"):
+        warc.sound(spoilt).collect()
+
+
 def test_warc(spark):
     data = [(1, "http://www.a.example.com/x?y#z", "<p>" + "a" * 200), (2, "https://b.org", "<p>" + "a" * 200), (3, None, None), (4, "http://b.org/", "short"),
             (5, "http://b.org/", "short"), (6, "http://c.net/\r\nX: y", "WARC/1.1\r\n\r\n" * 20), (2, "https://b.org", "<p>" + "a" * 200), (None, "http://d.e/", "\U0001f642" * 50)]
