@@ -4,10 +4,9 @@ Shuffle budget (each ``Exchange`` in the physical plan):
 
 * :func:`pair_prev` (flag strategy) - one hash exchange on (party, date) with a
   map-side partial aggregate, so duplicate keys are collapsed before they move;
-* :func:`year_panel` - distinct parties (exchange on party, partial aggregate),
-  merge of grid and statements (exchange on (party, date), partial aggregate),
-  ``lag`` window (exchange on party).  After the merge a party has exactly one
-  row per year end, so window groups are bounded by the number of years;
+* :func:`year_panel`, :func:`pair_prev_lag` - one hash exchange on the party with a map-side
+  partial aggregate that holds a column a year, so the input is read once, full rows
+  move once, and grid and previous year need neither join nor window;
 * :func:`forward_fill` - one row per (party, month) (partial aggregate), then one
   exchange on party that serves the month steps and the blocked fill windows;
   each block carries a 12-month halo of the previous block's observations.
@@ -15,6 +14,7 @@ Shuffle budget (each ``Exchange`` in the physical plan):
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -92,24 +92,44 @@ def year_grid(df: DataFrame, keys: Sequence[str] = KEYS, bounds: tuple | None =
               .where(F.col(date).between(F.lit(lo), F.lit(hi))))
 
 
+def _grid_years(bounds: tuple) -> list[int]:
+    """Years whose 31 December lies within the bounds."""
+    lo, hi = (d.date() if isinstance(d, dt.datetime) else d for d in bounds)
+    return [y for y in range(lo.year, hi.year + 1) if lo <= dt.date(y, 12, 31) <= hi]
+
+
+def _year_rows(df: DataFrame, value_cols: Sequence[str], keys: Sequence[str], bounds: tuple, out: Sequence[str],
+               with_last: bool) -> DataFrame:
+    """One row per party and year end of the grid: ``out`` reads ``cur`` (that year's accounts) and, ``with_last``, ``last``.
+
+    One grouped aggregate on the party: a column for every year of the grid holds that year's statement, the largest row
+    of several.  Its map-side partial collapses repeated statements and brings a party's years together, so full rows move
+    once, and the grid, the fill of missing years and last year's figures are read off the columns.
+    """
+    party, date = keys
+    years = _grid_years(bounds)
+    row, p, d = struct_of(value_cols), ident(party), ident(date)
+    by_year = df.groupBy(F.col(p)).agg(*(
+        F.expr(f"max(CASE WHEN {d} = DATE'{y:04d}-12-31' AND {p} IS NOT NULL THEN {row} END)").alias(f"y{y}") for y in years))
+    cells = []
+    for k, y in enumerate(years):
+        last = f", {f'y{years[k - 1]}' if k else f'CAST(NULL AS {_struct_type(df, value_cols)})'} AS last" if with_last else ""
+        cells.append(f"struct(DATE'{y:04d}-12-31' AS day, y{y} AS cur{last})")
+    rows = by_year.selectExpr(p, f"explode(array({', '.join(cells)})) AS cell")
+    return rows.selectExpr(p, f"cell.day AS {d}", *out)
+
+
 def year_panel(df: DataFrame, value_cols: Sequence[str] | None = None, keys: Sequence[str] = KEYS,
                bounds: tuple | None = None) -> DataFrame:
     """Grid left-joined with the 31 December statements (duplicates picked deterministically).
 
-    Written as union + grouped max instead of a join: the grid rows carry a
-    null struct, which ``max`` ignores, so a year without a statement keeps
-    null accounts, and duplicate statements collapse in the map-side partial
-    aggregate.
+    Every party of ``df`` has every year end between the bounds, with null accounts where it has no statement.
     """
-    party, date = keys
     value_cols = [c for c in df.columns if c not in keys] if value_cols is None else list(value_cols)
-    bounds = bounds or date_bounds(df, date)
-    grid = year_grid(df, keys, bounds).select(party, date, F.lit(None).cast(_struct_type(df, value_cols)).alias(_CUR))
-    d = F.col(date)
-    dec = (df.where(F.col(party).isNotNull() & (F.month(d) == 12) & (F.dayofmonth(d) == 31))
-             .selectExpr(ident(party), ident(date), f"{struct_of(value_cols)} AS {_CUR}"))
-    merged = grid.unionByName(dec).groupBy(party, date).agg(F.max(_CUR).alias(_CUR))
-    return merged.selectExpr(ident(party), ident(date), *[f"{_CUR}.{ident(c)} AS {ident(c)}" for c in value_cols])
+    bounds = bounds or date_bounds(df, keys[1])
+    if bounds[0] is None or not _grid_years(bounds):
+        return df.select(*keys, *value_cols).limit(0)
+    return _year_rows(df, value_cols, keys, bounds, [f"cell.cur.{ident(c)} AS {ident(c)}" for c in value_cols], False)
 
 
 def _struct_type(df: DataFrame, cols: Sequence[str]) -> str:
@@ -126,8 +146,14 @@ def lag_prev(panel: DataFrame, shift_cols: Sequence[str], keys: Sequence[str] =
 
 def pair_prev_lag(df: DataFrame, shift_cols: Sequence[str], value_cols: Sequence[str] | None = None,
                   keys: Sequence[str] = KEYS, bounds: tuple | None = None) -> DataFrame:
-    """Yearly panel with previous-year columns by row shift over the dense grid."""
-    return lag_prev(year_panel(df, value_cols, keys, bounds), shift_cols, keys)
+    """Yearly panel with previous-year columns by row shift over the dense grid: the column of the year before."""
+    value_cols = [c for c in df.columns if c not in keys] if value_cols is None else list(value_cols)
+    bounds = bounds or date_bounds(df, keys[1])
+    if bounds[0] is None or not _grid_years(bounds):
+        return lag_prev(df.select(*keys, *value_cols).limit(0), shift_cols, keys)
+    out = [f"cell.cur.{ident(c)} AS {ident(c)}" for c in value_cols]
+    out += [f"cell.last.{ident(c)} AS {ident(prev_name(c))}" for c in _values(shift_cols)]
+    return _year_rows(df, value_cols, keys, bounds, out, True)
 
 
 def month_grid(df: DataFrame, keys: Sequence[str] = KEYS, extend: int = 12) -> DataFrame:

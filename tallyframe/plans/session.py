@@ -13,7 +13,7 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Feature projections widen a row about eightfold, so tasks of under Spark's 1 MB are worth their start
     # where cores would idle; large shuffles go by the advisory size as ever.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot key of the spine joins even where the pairing on the same keys then
     # needs one more exchange; its partial aggregate has collapsed the key by that time.

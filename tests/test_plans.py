@@ -6,7 +6,7 @@ import os
 from tallyframe.catalog import Catalog
 from tallyframe.operators.audit import filter_month
 from tallyframe.operators.features import compute_features
-from tallyframe.operators.panel import pair_prev
+from tallyframe.operators.panel import pair_prev, pair_prev_lag, year_panel
 from tallyframe.sources.readers import read_statements, scan_statements_window
 from tallyframe.sources.schema import ACCOUNT_CODES
 
@@ -67,3 +67,31 @@ def test_pairing_is_one_shuffle(spark, scratch_dir):
     plan = executed(df)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Join" not in plan
+
+
+def test_yearly_panel_moves_full_rows_once(spark, scratch_dir):
+    """Grid, merge and last year's figures: one pass over the input, one exchange, no join and no window."""
+    path = os.path.join(scratch_dir, "st")
+    write_statements(spark, path)
+    rows = spark.read.parquet(path)
+    for df in (year_panel(rows), pair_prev_lag(rows, ["A_1", "P_3"])):
+        plan = executed(df)
+        assert plan.count("Exchange hashpartitioning(party_id") == 1 == plan.count("Exchange") == plan.count("FileScan")
+        assert "Join" not in plan and "Window" not in plan and "Union" not in plan
+
+
+def test_hot_party_collapses_before_the_panel_moves(spark):
+    """Copies of a party's statements meet in the partial aggregate: a row a party and task is shuffled."""
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("id % 2 AS party_id", "make_date(2015 + CAST(id % 3 AS INT), 12, 31) AS data_date", "CAST(id AS DOUBLE) AS A_1")
+    df = year_panel(rows, bounds=(dt.date(2015, 1, 1), dt.date(2018, 1, 1)))
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+
+    def walk(p):
+        here = p.metrics().get("shuffleRecordsWritten").get().value() if p.nodeName() == "Exchange" else 0
+        inner = [p.executedPlan()] if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else []
+        inner += [p.plan()] if p.getClass().getSimpleName().endswith("QueryStageExec") else []
+        kids = p.children()
+        return here + sum(walk(c) for c in [*inner, *(kids.apply(i) for i in range(kids.size()))])
+
+    assert walk(plan) == 2 * 4
