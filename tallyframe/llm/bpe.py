@@ -38,7 +38,7 @@ from tallyframe.llm.common import ship
 
 #: Bounds of the memo of cuts and of the transducer's states; beyond them they start anew.
 MEMO_SIZE, MEMO_CHARS, MAX_STATES = 1_200_000, 48, 150_000
-PIECE_MEMO_SIZE = 200_000
+PIECE_MEMO_SIZE = 500_000
 #: From so many bytes of a piece on, agreed tokens are emitted before it ends.
 SETTLE = 64
 
@@ -54,15 +54,18 @@ class Transducer:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.size = {r: len(t) for t, r in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
+        #: The trie of token bytes: (node * 256 + byte) -> node; which nodes go on, and the token that ends at one.
+        self.child: dict[int, int] = {}
+        self.open = [False]
         self.token = [-1]
         for piece, rank in ranks.items():
             node = 0
             for b in piece:
-                nxt = self.children[node].get(b)
+                self.open[node] = True
+                nxt = self.child.get(node << 8 | b)
                 if nxt is None:
-                    nxt = self.children[node][b] = len(self.children)
-                    self.children.append({})
+                    nxt = self.child[node << 8 | b] = len(self.token)
+                    self.open.append(False)
                     self.token.append(-1)
                 node = nxt
             self.token[node] = rank
@@ -73,7 +76,8 @@ class Transducer:
         start = ((-1, 0),)
         self.states = [start]
         self.index = {start: 0}
-        self.next: list[dict[int, tuple[int, int]]] = [{}]
+        #: Per state: byte -> (the next state's row, token); under -1 the state's own number.
+        self.rows: list[dict[int, tuple[dict, int]]] = [{-1: 0}]
 
     def merge(self, piece: bytes) -> list[int]:
         """The merges applied by rank, leftmost first; used on single tokens and pairs when compiling."""
@@ -97,16 +101,16 @@ class Transducer:
             ok = self.pairs[last, tok] = self.merge(b"".join(self.tokens[t] for t in want)) == want
         return ok
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """The next state, and the token of the one path that may end here (-1: none)."""
-        paths, ended = [], -1
-        for last, node in self.states[state]:
-            child = self.children[node].get(byte)
+    def _step(self, row: dict, byte: int) -> tuple[dict, int]:
+        """The next state's row, and the token of the one path that may end here (-1: none)."""
+        paths, ended, child_of, opened, token = [], -1, self.child.get, self.open, self.token
+        for last, node in self.states[row[-1]]:
+            child = child_of(node << 8 | byte)
             if child is None:
                 continue
-            if self.children[child]:
+            if opened[child]:
                 paths.append((last, child))
-            tok = self.token[child]
+            tok = token[child]
             if tok >= 0 and self.follows(-1, tok) and (last < 0 or self.follows(last, tok)):
                 ended = tok
         if ended >= 0:
@@ -116,8 +120,8 @@ class Transducer:
         if to is None:
             to = self.index[key] = len(self.states)
             self.states.append(key)
-            self.next.append({})
-        made = self.next[state][byte] = (to, ended)
+            self.rows.append({-1: to})
+        made = row[byte] = (self.rows[to], ended)
         return made
 
     def _settled(self, ends: list[int], stop: int) -> list[int]:
@@ -139,14 +143,22 @@ class Transducer:
             self._reset()
         out: list[int] = []
         ends: list[int] = []
-        state, table = 0, self.next
+        row, add = self.rows[0], ends.append
+        if len(piece) < SETTLE:
+            for b in piece:
+                try:
+                    row, ended = row[b]
+                except KeyError:
+                    row, ended = self._step(row, b)
+                add(ended)
+            return self._settled(ends, len(ends))
         for b in piece:
-            to = table[state].get(b)
-            if to is None:
-                to = self._step(state, b)
-            state, ended = to
-            ends.append(ended)
-            if ended >= 0 and len(ends) >= SETTLE and len(self.states[state]) == 1:  # all live paths agree so far
+            try:
+                row, ended = row[b]
+            except KeyError:
+                row, ended = self._step(row, b)
+            add(ended)
+            if ended >= 0 and len(ends) >= SETTLE and len(self.states[row[-1]]) == 1:  # all live paths agree so far
                 out += self._settled(ends, len(ends))
                 ends.clear()
         return out + self._settled(ends, len(ends))
