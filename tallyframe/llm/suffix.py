@@ -333,7 +333,7 @@ def _pieces(buckets: int, collapse: bool = True):
             gone = gone[np.lexsort((version[gone], d[gone]))]
             new = np.flatnonzero(np.concatenate(([True], (d[gone][1:] != d[gone][:-1]) | (version[gone][1:] != version[gone][:-1])))[:len(gone)])
             ends = np.append(new[1:], len(gone))
-            yield pd.DataFrame({"deal": version[gone[new]], "anchor": np.zeros(len(new), np.int64), "d": d[gone[new]], "version": version[gone[new]],
+            yield pd.DataFrame({"deal": d[gone[new]], "anchor": np.zeros(len(new), np.int64), "d": d[gone[new]], "version": version[gone[new]],
                                 "starts": [start[gone[a:b]].tobytes() for a, b in zip(new, ends)],
                                 "lengths": [size[gone[a:b]].tobytes() for a, b in zip(new, ends)], "piece": None})
     return run
