@@ -54,7 +54,7 @@ LENGTH, GRAM = 50, 16
 RUN = LENGTH - GRAM + 1
 MEMBERS = 4096
 #: Bytes of text that are looked at together, and suffixes sorted together.
-SLICE, SUFFIXES = 12 << 20, 1 << 17
+SLICE, SUFFIXES = 6 << 20, 1 << 17
 #: Texts that are looked at together at most (their numbers are sent as 16 bits).
 ROWS = 1 << 16
 #: Bytes that are hashed at once: arrays of eight bytes for each stay in a core's cache.
@@ -282,7 +282,6 @@ def shared_anchors(long: DataFrame, copies: DataFrame, scratch: Scratch, limit:
     lists = both.groupBy("batch").applyInPandas(_by_document, "d long, version long, shared binary").join(copies, ["d", "version"], "left_anti")
     kept = scratch.keep("shared", lists.groupBy("d", "version").agg(F.collect_set("shared").alias("shared")))
     scratch.drop("anchors")
-    release(spark)
     return kept
 
 
@@ -642,8 +641,10 @@ def dedup_passages(docs: DataFrame, limit: int = MEMBERS) -> DataFrame:
     rows = keyed(docs)
     long = rows.where(F.octet_length("text") >= LENGTH)
     copies = equal_texts(long, scratch)
-    found = pieces(long, shared_anchors(long, copies, scratch, limit))
-    gone = removed(found, copies, scratch, limit)
+    shared = shared_anchors(long, copies, scratch, limit)
+    release(spark)
+    gone = removed(pieces(long, shared), copies, scratch, limit)
+    release(spark)
     spans = gone.groupBy("d", "version").agg(F.collect_list(F.struct("starts", "shift", "length", "lengths")).alias("parts"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return packed(rows).join(spans, ["d", "version"], "left").select("doc_id", "text", "parts").mapInPandas(
