@@ -91,13 +91,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written to WARC archives and indexed; all captures that the index lists, read back from the archives."""
+    """All pages written to WARC archives and indexed, then looked up by their URLs: directory, blocks, ranges."""
     scratch = Scratch(spark, "warc")
-    archives = scratch.keep("archives", warc.write_archives(read(spark, sf_dir, "pages")))
+    pages = read(spark, sf_dir, "pages")
+    archives = scratch.keep("archives", warc.write_archives(pages))
     records = scratch.keep("records", warc.read_archives(archives))
     index = scratch.keep("index", warc.build_index(records))
-    places = ["archive", "offset", "length"]
-    back = warc.captures(index).select(*places).join(warc.sound(records), places)
+    back = warc.sound(warc.lookup(archives, index, pages.select("url"), keep_payload=False))
     return back.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"),
                        "refers_to")
 

@@ -29,6 +29,7 @@ import hashlib
 import zlib
 from bisect import bisect_left, bisect_right
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import Scratch, ship
 
-MIN_REVISIT, BLOCK, DIRECTORY_ROWS, RANGED, LEVEL = 100, 1024, 50_000, 200, 4
+MIN_REVISIT, BLOCK, DIRECTORY_ROWS, RANGED, RUNS, LEVEL = 100, 1024, 50_000, 200, 50_000, 4
 DATE = "2024-01-01T00:00:00Z"  # the tables hold no capture time
 
 ARCHIVE = "archive long, offset long, length int, member binary"
@@ -53,10 +54,14 @@ def surt(url: str) -> str:
     return ",".join(reversed(name.split("."))) + (f":{port}" if port not in ("", "80", "443") else "") + ")" + (path if path[0] == "/" else "/" + path)
 
 
+def target(url: str) -> str:
+    """The URL as a record's header has it: characters that could break a line are percent-encoded."""
+    return "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+
+
 def record(page_id, url: str, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
-    """One WARC record; header values that could break a line are percent-encoded."""
-    uri = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
-    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Target-URI: {uri}", f"WARC-Date: {DATE}",
+    """One WARC record."""
+    lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Target-URI: {target(url)}", f"WARC-Date: {DATE}",
              f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
              "Content-Type: text/html; charset=utf-8"]
     if revisit:
@@ -164,7 +169,7 @@ def _blocks(batches):
 def _surt_udf():
     @F.pandas_udf("string")
     def key(url: pd.Series) -> pd.Series:
-        return url.map(surt)
+        return url.map(lambda u: surt(target(u)))
 
     return key
 
@@ -230,11 +235,44 @@ def find_blocks(index: DataFrame, keys: DataFrame, directory_rows: int = DIRECTO
     return asked.join(spread, "slot").where((F.col("urlkey") >= F.col("first_key")) & (F.col("urlkey") <= F.col("last_key"))).select("block", "urlkey")
 
 
-def lookup(archives: DataFrame, index: DataFrame, urls: DataFrame, keep_payload: bool = True, directory_rows: int = DIRECTORY_ROWS) -> DataFrame:
+def runs_of(ranges: DataFrame, most: int) -> dict[int, tuple[list[int], list[int]]] | None:
+    """Archive -> ascending first and end offsets of what its ``ranges`` cover, neighbours joined; None for over ``most`` runs."""
+    begin = ranges.select("archive", F.col("offset").alias("at"))
+    end = ranges.select("archive", (F.col("offset") + F.col("length")).alias("at"))
+    first = begin.join(end, ["archive", "at"], "left_anti").limit(most + 1).collect()
+    if len(first) > most:
+        return None
+    out: dict[int, tuple[list[int], list[int]]] = {}
+    for k, found in enumerate((first, end.join(begin, ["archive", "at"], "left_anti").collect())):
+        for archive, at in sorted(map(tuple, found)):
+            out.setdefault(archive, ([], []))[k].append(at)
+    return out
+
+
+def _in_runs(spark, runs: dict):
+    shared = spark.sparkContext.broadcast(runs)
+
+    @F.pandas_udf("boolean")
+    def inside(archive: pd.Series, offset: pd.Series) -> pd.Series:
+        out, archives, offsets = np.zeros(len(archive), bool), archive.to_numpy(), offset.to_numpy()
+        for a in np.unique(archives):
+            if int(a) in shared.value:
+                first, end = shared.value[int(a)]
+                rows = np.flatnonzero(archives == a)
+                k = np.searchsorted(first, offsets[rows], "right") - 1
+                out[rows] = (k >= 0) & (offsets[rows] < np.asarray(end)[k])
+        return pd.Series(out)
+
+    return inside
+
+
+def lookup(archives: DataFrame, index: DataFrame, urls: DataFrame, keep_payload: bool = True, directory_rows: int = DIRECTORY_ROWS,
+           most_runs: int = RUNS) -> DataFrame:
     """The records of ``urls`` (url): directory, then blocks, then ranges.
 
-    Where the ranges lie in ``RANGED`` archives at most, each archive's range is a predicate that the
-    archive table's scan prunes files and row groups by; the join alone finds them beyond that.
+    Neighbouring ranges are read as one run, and up to ``most_runs`` runs go to the tasks that scan the archives, so no
+    record is moved; with more of them a join finds the records.  Where the ranges lie in ``RANGED`` archives at most,
+    each archive's range is a predicate that the scan prunes files and row groups by.
     """
     spark = archives.sparkSession
     ship(spark)
@@ -242,10 +280,12 @@ def lookup(archives: DataFrame, index: DataFrame, urls: DataFrame, keep_payload:
     at = find_blocks(index, urls.select(key(F.coalesce(F.col("url"), F.lit(""))).alias("urlkey")), directory_rows)
     opened = index.join(at.groupBy("block").agg(F.sort_array(F.collect_set("urlkey")).alias("keys")), "block").select("data", "keys")
     ranges = Scratch(spark, "warc-lookup").keep("ranges", opened.mapInPandas(_open(True), SCHEMA).select("archive", "offset", "length"))
-    spans = ranges.groupBy("archive").agg(F.min("offset").alias("low"), F.max("offset").alias("high")).limit(RANGED + 1).collect()
-    if len(spans) <= RANGED:
+    runs = runs_of(ranges, most_runs)
+    if runs is None:
+        return read_archives(archives.join(ranges, ["archive", "offset", "length"], "left_semi"), keep_payload)
+    if len(runs) <= RANGED:
         inside = F.lit(False)
-        for r in spans:
-            inside = inside | ((F.col("archive") == r["archive"]) & F.col("offset").between(r["low"], r["high"]))
+        for archive, (first, end) in runs.items():
+            inside = inside | ((F.col("archive") == archive) & (F.col("offset") >= first[0]) & (F.col("offset") < end[-1]))
         archives = archives.where(inside)
-    return read_archives(archives.join(ranges, ["archive", "offset", "length"], "left_semi"), keep_payload)
+    return read_archives(archives.where(_in_runs(spark, runs)("archive", "offset")), keep_payload)

@@ -479,6 +479,30 @@ def test_warc(spark):
     assert warc.surt("https://www.Sub.Example.com:443/a?b#c") == "com,example,sub)/a?b" and warc.surt("http://x.y:81?q") == "y,x:81)/?q"
 
 
+def test_warc_query_reads_through_lookup(spark, scratch_dir, monkeypatch):
+    rows = [(k, f"http://a.example/{k % 7} b\n", f"{'x' * 200}{k % 5}") for k in range(40)] + [(99, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{scratch_dir}/pages.parquet")
+    calls = []
+    looked_up = warc.lookup
+    monkeypatch.setattr(warc, "captures", lambda index: pytest.fail("the index is listed"))
+    monkeypatch.setattr(warc, "lookup", lambda *a, **kw: calls.append(a) or looked_up(*a, **kw))
+    got = sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in registry.op10(spark, scratch_dir).collect())
+    assert calls and got == [(k, "revisit" if k >= 5 else "response", k % 5 if k >= 5 else None) for k in range(40)] + [(99, "response", None)]
+
+
+def test_warc_runs(spark):
+    pages = spark.createDataFrame([(k, f"http://a.example/{k}", "x" * 20) for k in range(30)], "page_id long, url string, html string")
+    archives = warc.write_archives(pages.coalesce(2)).cache()
+    index = warc.build_index(warc.read_archives(archives)).cache()
+    places = {r["page_id"]: (r["archive"], r["offset"], r["length"]) for r in warc.captures(index).collect()}
+    covered = warc.runs_of(spark.createDataFrame(list(places.values()), "archive long, offset long, length int"), 10)
+    assert {a: (f, e) for a, (f, e) in covered.items()} == {
+        a: ([0], [max(o + n for b, o, n in places.values() if b == a)]) for a in {p[0] for p in places.values()}}
+    asked = spark.createDataFrame([(f"http://a.example/{k}",) for k in range(0, 30, 3)], "url string")
+    for most in (0, 100):  # by a join, and by runs sent to the tasks
+        assert sorted(r["page_id"] for r in warc.lookup(archives, index, asked, most_runs=most).collect()) == list(range(0, 30, 3))
+
+
 # pipeline
 
 def test_pipeline(spark, dirty, empty):
