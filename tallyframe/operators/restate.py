@@ -63,6 +63,9 @@ def recompute(stored: DataFrame, restated: DataFrame, accounts: Iterable[str], c
 
     ``restated`` has one row a key.  Keys that ``stored`` doesn't have are new filings, all of whose features are wanted: they
     are not added here.  A key with a null part matches nothing.
+
+    Stored rows are wide and mostly stay as they are: the restated ones are the hashed side of the join, so the stored ones
+    are not sorted, nor moved where they are bucketed by the keys (:func:`tallyframe.sources.sinks.stage_panel`).
     """
     accounts = list(accounts)
     feature_cols = [c for c in stored.columns if c not in keys]
@@ -74,7 +77,7 @@ def recompute(stored: DataFrame, restated: DataFrame, accounts: Iterable[str], c
     while mark in stored.columns:
         mark += "_"
     new = fresh.select(*(F.col(ident(k)) for k in keys), F.struct(*(F.col(ident(c)) for c in changed)).alias(mark))
-    joined = stored.join(new, list(keys), "left")
+    joined = stored.join(new.hint("shuffle_hash"), list(keys), "left")
     put = set(changed)
     return joined.selectExpr(*(ident(k) for k in keys), *(
         f"CASE WHEN {ident(mark)} IS NOT NULL THEN {ident(mark)}.{ident(c)} ELSE {ident(c)} END AS {ident(c)}" if c in put else ident(c)

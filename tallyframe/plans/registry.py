@@ -369,7 +369,7 @@ def q_quarantine_accepted(spark, d):
 def q_restate_features(spark, d):
     """Two accounts of every fifth party restated: their features put over the stored ones."""
     paired = panel.pair_prev(fx.statements_flagged(spark, d, fx.staged_statements(spark, d)), _shifted(), list(ACCOUNT_CODES))
-    stored = sinks.stage_panel(features.compute_features(paired, _cat()))
+    stored = sinks.stage_panel(features.compute_features(paired, _cat()), bucket_by=KEYS)
     doubled = {c: F.col(c) * 2 for c in RESTATED}
     return restate.recompute(stored, paired.where(F.col(PARTY) % 5 == 0).withColumns(doubled), RESTATED, _cat())
 

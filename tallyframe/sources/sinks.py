@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,15 +61,33 @@ def owned_dir(spark: SparkSession, label: str) -> str:
     return where
 
 
-def stage_panel(df: DataFrame, path: str | None = None, columns: list[str] | None = None) -> DataFrame:
+def stage_panel(df: DataFrame, path: str | None = None, columns: list[str] | None = None,
+                bucket_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as Parquet once and read it back (optionally only ``columns``).
 
     Cuts the lineage: later jobs start from the written files, so a lost
     executor never recomputes the upstream joins.  Without ``path`` the files
     go to a fresh folder under the shared checkpoint directory, which goes with the session.
+
+    With ``bucket_by`` the files are bucketed by these keys into as many buckets as a shuffle has partitions: an
+    aggregate on the keys is written as it is dealt out, and a later join on them doesn't move the staged rows.
     """
     spark = df.sparkSession
     path = path or owned_dir(spark, "staged")
-    df.write.mode("overwrite").parquet(path)
-    staged = spark.read.parquet(path)
+    if bucket_by:
+        staged = _stage_buckets(df, path, bucket_by)
+    else:
+        df.write.mode("overwrite").parquet(path)
+        staged = spark.read.parquet(path)
     return staged.select(*columns) if columns else staged
+
+
+def _stage_buckets(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+    """The rows as files in buckets.  Only a table's files can have any, so the catalogue names them while the frame is made."""
+    spark = df.sparkSession
+    name = f"staged_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", f"{path}/rows").bucketBy(buckets, *keys).saveAsTable(name)
+    staged = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return staged

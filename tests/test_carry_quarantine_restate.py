@@ -16,6 +16,7 @@ from tallyframe.operators.panel import forward_fill
 from tallyframe.operators.restate import account_index, affected_features, inputs_of, recompute, recompute_changed
 from tallyframe.sources.quarantine import checked_columns, write_checked
 from tallyframe.sources.readers import map_columns
+from tallyframe.sources.sinks import stage_panel
 from tallyframe.sources.schema import ACCOUNT_CODES
 
 
@@ -162,6 +163,21 @@ def test_recompute_equals_a_full_run(spark, scratch_dir):
     assert recompute(stored, touched, ["no such account"], cat) is stored
 
 
+def test_recompute_moves_no_staged_rows(spark):
+    cat = Catalog.default()
+    name = "Financial_Aggregate_1"
+    accounts = inputs_of([name], cat)
+    rows = spark.range(200).selectExpr("id AS party_id", "make_date(CAST(2000 + id % 10 AS INT), 12, 31) AS data_date", *(f"CAST(id AS DOUBLE) AS `{c}`" for c in accounts))
+    stored = stage_panel(compute_features(rows, cat, [name]), bucket_by=["party_id", "data_date"])
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+    put = recompute(stored, rows.where("party_id % 5 = 0").withColumn(accounts[0], F.lit(7.0)), [accounts[0]], cat)
+    plan = put._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "ShuffledHashJoin" in plan  # only the restated rows move
+    got = {r["party_id"]: r[name] for r in put.collect()}
+    plain = {r["party_id"]: r[name] for r in compute_features(rows, cat, [name]).collect()}
+    assert len(got) == 200 and all((got[k] == plain[k]) == (k % 5 != 0) for k in got if k != 7)
+
+
 def test_recompute_of_some_features_and_odd_keys(spark):
     cat = Catalog.default()
     paired = statements(spark, 6)
