@@ -26,3 +26,17 @@ def spark():
 @pytest.fixture()
 def scratch_dir():
     return tempfile.mkdtemp(prefix="tallyframe-case-")
+
+
+@pytest.fixture()
+def own_settings(spark):
+    """Sets session settings that are put back after the test."""
+    before = {}
+
+    def put(key: str, value: str) -> None:
+        before.setdefault(key, spark.conf.get(key))
+        spark.conf.set(key, value)
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)

@@ -228,6 +228,15 @@ def test_store_rewrites_touched_buckets_only(spark, scratch_dir):
     assert KeyedStore(spark, store.root, "k long, v long", keys=["k"], buckets=99).buckets == 8
 
 
+def test_store_bucket_is_written_by_several_tasks(spark, scratch_dir, own_settings):
+    own_settings("spark.sql.shuffle.partitions", "16")
+    own_settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    store = KeyedStore(spark, os.path.join(scratch_dir, "s"), "k long, v long", keys=["k"], buckets=2)
+    store.upsert(spark.range(4000).selectExpr("id AS k", "id AS v"), 1)
+    files = [f for f in store._load([x for f in store.manifest()[1]["folders"].values() for x in f]).inputFiles()]
+    assert len(files) > 4 and store.read().count() == 4000
+
+
 def test_store_writers_meet(spark, scratch_dir, monkeypatch):
     """A compaction and an upsert that started from one version: both are in, whichever publishes first."""
     store = KeyedStore(spark, os.path.join(scratch_dir, "s"), "k long, v long", keys=["k"], buckets=2)
