@@ -19,13 +19,16 @@ def write_features(df: DataFrame, target: str, fmt: str = "parquet", mode: str =
     table on them (e.g. back to a spine) read co-partitioned data without a
     shuffle.  The write is the job's only action; task retries and speculative
     attempts are safe because the file committer only publishes files of the
-    successful attempt.
+    successful attempt.  A bucket is written by as many tasks as its size takes, a file each,
+    so few buckets don't make large tasks.
     """
     if bucket_by and "/" in target:
         raise ValueError("bucketing needs a table target")
     n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if bucket_by:
-        df = df.repartition(n, *bucket_by)  # a task per bucket, so a file per bucket
+        # Partitions are a multiple of the buckets, so each is part of one bucket; AQE puts small ones together and splits a hot key's.
+        several = -(-int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n)
+        df = df.hint("rebalance", n * several, *[F.col(c) for c in bucket_by])
     elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])  # AQE splits a large partition value
     writer = df.write.mode(mode).format(fmt)

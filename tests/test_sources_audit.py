@@ -146,6 +146,14 @@ def test_bucketed_table_has_a_file_per_bucket(spark):
     assert spark.table("tallytest.bucketed").count() == 2000
 
 
+def test_large_buckets_are_several_tasks(spark, own_settings):
+    own_settings("spark.sql.shuffle.partitions", "16")
+    own_settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_features(spark.range(4000).withColumnRenamed("id", "party_id"), "tallytest.shared_buckets", bucket_by=["party_id"], num_buckets=2)
+    t = spark.table("tallytest.shared_buckets")
+    assert 4 < len(t.inputFiles()) <= 16 and t.count() == t.distinct().count() == 4000
+
+
 def test_partitioned_write(spark, scratch_dir):
     path = os.path.join(scratch_dir, "parts")
     df = spark.range(0, 100, 1, 8).selectExpr("id", "id % 3 AS y")
