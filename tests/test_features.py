@@ -183,3 +183,11 @@ def test_nan_input_is_missing_and_overflow_is_null(spark, cat):
     assert out["Financial_Aggregate_2"] == 1e-10
     big = one(compute_features(frame(spark, [{"A_1": 1e308, "P_3": 1e-10}]), cat, ["LQ_01"]))
     assert big["LQ_01"] is None                         # overflow to inf -> null
+
+
+def test_long_form_is_one_generator(spark):
+    wide = spark.createDataFrame([(1, dt.date(2020, 12, 31), 1.5, None), (None, None, None, 0.0)], "party_id long, data_date date, a double, `b'c` double")
+    out = features_long(wide)
+    assert out.columns == ["party_id", "data_date", "feature", "value"]
+    assert sorted(map(str, out.collect())) == sorted(map(str, wide.unpivot(["party_id", "data_date"], ["a", "b'c"], "feature", "value").collect()))
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
