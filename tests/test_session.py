@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallyframe.plans.session import ensure_checkpoint_dir
+from tallyframe.plans.session import ensure_checkpoint_dir, ensure_method_limit
 
 
 class _Conf:
@@ -47,3 +47,11 @@ def test_local_session_gets_a_scratch_folder():
     sc = _Context("local[4]", {})
     path = ensure_checkpoint_dir(_Session(sc))
     assert path and sc.getCheckpointDir() == path
+
+
+def test_method_limit_is_set_unless_chosen(spark, own_settings):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    for before, after in (("65535", "8000"), ("20000", "20000")):
+        own_settings(key, before)
+        ensure_method_limit(spark)
+        assert spark.conf.get(key) == after
