@@ -1,8 +1,12 @@
 """Checkpoint-folder rules: use the configured shared folder; never invent a local one on a cluster."""
 
+from pathlib import Path
+
+import pyarrow.parquet as pq
 import pytest
 
-from tallyframe.plans.session import ensure_checkpoint_dir, ensure_method_limit
+from tallyframe.plans.session import ensure_checkpoint_dir, ensure_method_limit, ensure_plain_figures
+from tests.conftest import SF_SMALL
 
 
 class _Conf:
@@ -55,3 +59,25 @@ def test_method_limit_is_set_unless_chosen(spark, own_settings):
         own_settings(key, before)
         ensure_method_limit(spark)
         assert spark.conf.get(key) == after
+
+
+def test_figures_are_written_without_dictionaries(spark, scratch_dir):
+    """Feature columns are plain, others keep theirs; a session's own choice stays."""
+    from __spark_entry__ import queries
+
+    def encodings(session, where):
+        session.range(500).selectExpr("'a' AS name", "1.5D AS LQ_01", "2.5D AS LQ_02").coalesce(1).write.parquet(where)
+        (part,) = Path(where).glob("*.parquet")
+        group = pq.ParquetFile(part).metadata.row_group(0)
+        return {group.column(i).path_in_schema: any("DICTIONARY" in e for e in group.column(i).encodings) for i in range(3)}
+
+    registered = spark.newSession()
+    queries()["filter_month"](registered, SF_SMALL)
+    assert encodings(registered, f"{scratch_dir}/registered") == {"name": True, "LQ_01": False, "LQ_02": False}
+    one, every = spark.newSession(), spark.newSession()
+    one.conf.set("parquet.enable.dictionary#LQ_02", "true")
+    every.conf.set("parquet.enable.dictionary", "true")
+    for session in (one, every):
+        ensure_plain_figures(session, ["LQ_01", "LQ_02"])
+    assert encodings(one, f"{scratch_dir}/one") == {"name": True, "LQ_01": False, "LQ_02": True}
+    assert encodings(every, f"{scratch_dir}/every") == {"name": True, "LQ_01": True, "LQ_02": True}
