@@ -43,19 +43,46 @@ def _sources(df: DataFrame, accounts: Iterable[str], mapping: Mapping[str, str]
     return out
 
 
-def malformed(df: DataFrame, accounts: Iterable[str], mapping: Mapping[str, str] | None = None,
-              keys: Mapping[str, str] | None = None, parse_dates: bool = True) -> Column:
-    """Names of the canonical columns whose raw value is there (blank text is not) and can't be read, in column order."""
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _always_readable(kind: str, canonical: str) -> bool:
+    """Whether every value of this type can be read as the canonical column, so that there is nothing to test."""
+    if canonical == PARTY:
+        return kind in _WHOLE
+    if canonical == DATE:
+        return kind == "date"
+    if canonical == FLAG:
+        return kind in _WHOLE[:3]
+    return kind in (*_WHOLE, "float", "double") or kind.startswith("decimal")
+
+
+def _tests(df: DataFrame, accounts: Iterable[str], mapping: Mapping[str, str] | None, keys: Mapping[str, str] | None,
+           parse_dates: bool) -> dict[str, str]:
+    """Canonical column -> SQL that is true for a malformed value; only the columns whose types leave room for one."""
     types = dict(df.dtypes)
-    tests = []
+    tests = {}
     for canonical, raws in _sources(df, accounts, mapping, keys).items():
         bad = []
         for raw in raws:
+            if _always_readable(types[raw], canonical):
+                continue
             # A number or date in its own type is as it should be; text has to be parsed.
             there = f"trim({ident(raw)}) <> ''" if types[raw] == "string" else f"{ident(raw)} IS NOT NULL"
             bad.append(f"({there} AND {_readable(raw, canonical, parse_dates and types[raw] == 'string')} IS NULL)")
-        tests.append(f"CASE WHEN {' OR '.join(bad)} THEN '{canonical}' END")
-    return F.expr(f"array_compact(array({', '.join(tests)}))")
+        if bad:
+            tests[canonical] = " OR ".join(bad)
+    return tests
+
+
+def malformed(df: DataFrame, accounts: Iterable[str], mapping: Mapping[str, str] | None = None,
+              keys: Mapping[str, str] | None = None, parse_dates: bool = True) -> Column:
+    """Names of the canonical columns whose raw value is there (blank text is not) and can't be read, in column order."""
+    names = [f"CASE WHEN {bad} THEN '{canonical}' END" for canonical, bad in _tests(df, accounts, mapping, keys, parse_dates).items()]
+    if not names:
+        return F.expr("CAST(array() AS ARRAY<STRING>)")
+    # Generated code; array_compact is interpreted, with every test in it.
+    return F.expr(f"array_except(array({', '.join(names)}), array(CAST(NULL AS STRING)))")
 
 
 def checked_columns(df: DataFrame, accounts: Sequence[str], mapping: Mapping[str, str] | None = None,
@@ -100,7 +127,8 @@ def write_checked(df: DataFrame, root: str, accounts: Sequence[str], mapping: Ma
     rows = checked_columns(df, accounts, mapping, keys, parse_dates)
     columns = [c for c in rows.columns if c not in (BAD, RAW)]
     watch = Observation()
-    per_column = [F.sum(F.array_contains(BAD, c).cast("long")).alias(c) for c in columns]
+    # Observed sums are interpreted, row by row: only the columns that can be malformed have one, the others' count is 0.
+    per_column = [F.sum(F.array_contains(BAD, c).cast("long")).alias(c) for c in _tests(df, accounts, mapping, keys, parse_dates)]
     seen = rows.observe(watch, F.count(F.lit(1)).alias("rows"), F.sum((F.size(BAD) > 0).cast("long")).alias("rows with malformed values"), *per_column)
     key_bad = F.arrays_overlap(BAD, F.array(F.lit(PARTY), F.lit(DATE), F.lit(FLAG)))
     barred = F.size(BAD) > 0 if strict else key_bad
@@ -111,6 +139,7 @@ def write_checked(df: DataFrame, root: str, accounts: Sequence[str], mapping: Ma
                  *(F.when(F.col("kind") == "rejected", F.col(c)).alias(c) for c in (BAD, RAW)), "kind")
          .write.mode("error").partitionBy("kind").parquet(root))
     written = spark.read.schema(rows.schema.add("kind", "string")).parquet(root)
-    counts = {k: int(v or 0) for k, v in watch.get.items()}
+    found = watch.get
+    counts = {k: int(found.get(k) or 0) for k in ("rows", "rows with malformed values", *columns)}
     return Checked(written.where("kind = 'rows'").select(*(F.col(ident(c)) for c in columns)),
                    written.where("kind = 'rejected'").select(BAD, RAW), counts)

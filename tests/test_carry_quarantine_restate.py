@@ -117,6 +117,27 @@ def test_types_that_need_no_parsing(spark):
     assert got[0]["malformed"] == [] and got[0]["data_date"] == dt.date(2020, 12, 31) and got[0]["A_1"] == 2.0
 
 
+def test_only_columns_that_can_be_malformed_are_tested(spark, scratch_dir):
+    """Amounts of a number type need no test a row; their count is 0, and a type with room for bad values keeps its test."""
+    table = spark.createDataFrame([("1", "20201231", 0, 1.5, 2, "3"), ("x", "20201231", 1, None, None, "n/a"), ("2", "bad", 0, float("nan"), 4, " ")],
+                                  "party_id string, data_date string, prev_financial_indicator int, A_1 double, A_10 int, A_15 string")
+    table = table.withColumn("A_10", F.col("A_10").cast("decimal(9,2)"))
+    accounts = ["A_1", "A_10", "A_15"]
+    checked = checked_columns(table, accounts, {})
+    assert [r["malformed"] for r in checked.collect()] == [[], ["party_id", "A_15"], ["data_date"]]
+    plan = executed(checked)
+    assert "ArrayFilter" not in plan and "filter(array" not in plan and "THEN A_1 " not in plan and "THEN A_10" not in plan and "THEN A_15" in plan
+    done = write_checked(table, os.path.join(scratch_dir, "typed"), accounts, {})
+    assert done.counts == {"rows": 3, "rows with malformed values": 2, "party_id": 1, "data_date": 1, "prev_financial_indicator": 0, "A_1": 0, "A_10": 0, "A_15": 1}
+    assert done.rows.count() == 1 and done.rejected.count() == 2
+    clean = table.selectExpr("1L AS party_id", "DATE'2020-12-31' AS data_date", "prev_financial_indicator", "A_1")
+    done = write_checked(clean, os.path.join(scratch_dir, "clean"), ["A_1"], {})
+    assert done.rows.count() == 3 and done.rejected.count() == 0 and set(done.counts.values()) == {0, 3}
+    # A party too large for its type is malformed, though it is a number.
+    large = clean.withColumn("party_id", F.lit(1e30))
+    assert {tuple(r["malformed"]) for r in checked_columns(large, ["A_1"], {}).collect()} == {("party_id",)}
+
+
 # Restated accounts
 
 def test_account_index_reaches_through_ratios(spark):
