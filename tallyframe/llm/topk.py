@@ -3,9 +3,9 @@
 A vector is a sparse row: its non-zero components are weighted terms.
 Candidates are packed into blocks of at most ``block`` rows with a posting list
 (rows, weights) per term; queries into blocks of at most ``query_block`` rows.
-Every candidate block meets every query block on an equi-join over lanes, as
-many as there are candidate blocks, so tasks stay of one size whatever the data.  In a
-task, each query scatters its weighted postings into a dense score array, term
+Every candidate block meets every query block in a product of their partitions: a
+task reads some candidate blocks and holds at most a few query blocks, so no side is
+broadcast or copied once for every block of the other one.  In a task, each query scatters its weighted postings into a dense score array, term
 by term; a partition selection keeps the k best of the block with all ties that
 could matter, and a window merges the blocks' lists.
 
@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 from tallyframe.llm.common import Scratch, ship
 
 BLOCK, QUERY_BLOCK = 8192, 256
+#: Query blocks that a task is dealt, on average: it holds them while it reads candidate blocks.
+TASK_BLOCKS = 8
 #: Whole numbers below it are exact in a double; larger sums are made with Python's whole numbers.
 EXACT = float(1 << 53)
 
@@ -134,9 +136,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int, block: int = BLOCK,
     # evened out first: queries may stand together in a few files
     asked = fit(queries).groupBy("id").agg(F.min("vec").alias("vec"))
     quer = scratch.keep("queries", asked.mapInPandas(_pack(query_block, False), packed))
-    lanes = max(1, cand.count())
-    left = cand.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).drop("block")
-    right = quer.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), *(F.col(c).alias(f"q_{c}") for c in ("ids", "row", "term", "weight")))
-    found = left.join(right, "lane").mapInPandas(_score(k), "query_id long, vec_id long, score long")
+    shares = max(1, -(-quer.count() // TASK_BLOCKS))
+    asking = quer.select(*(F.col(c).alias(f"q_{c}") for c in ("ids", "row", "term", "weight"))).repartition(shares)
+    pairs = cand.drop("block").crossJoin(asking.hint("shuffle_replicate_nl"))  # a product: Spark would broadcast a side that looks small
+    found = pairs.mapInPandas(_score(k), "query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

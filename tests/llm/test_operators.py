@@ -352,6 +352,20 @@ def test_exact_top_k(spark):
     assert topk.top_k(quantised.limit(0), quantised.limit(0), 5).count() == 0 and topk.top_k(big, big.limit(0), 2).count() == 0
 
 
+def test_exact_top_k_broadcasts_no_side(spark):
+    """The driver holds neither side, however small the files look; the query blocks are moved once, not once a candidate block."""
+    table = spark.range(0, 600, 1, 3).selectExpr("id", "array(cast(id % 7 as double), cast(id % 11 as double)) as vec")
+    found = topk.top_k(table, table.where("id % 5 = 0"), 3, 50, 6)
+    rows = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+    want = {}
+    for q in range(0, 600, 5):
+        order = sorted((-((q % 7) * (c % 7) + (q % 11) * (c % 11)), c) for c in range(600) if c != q)[:3]
+        want |= {(q, k + 1): (c, -s) for k, (s, c) in enumerate(order)}
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in rows} == want and len(rows) == len(want)
+
+
 def test_learned_partitions(spark):
     table, vecs = vectors(spark)
     got = defaultdict(list)
