@@ -2,6 +2,8 @@
 
 import datetime as dt
 import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from tallyframe.operators.audit import coverage_report, filter_month, null_audit
 from tallyframe.operators.normalize import normalize_amounts
 from tallyframe.operators.spine import attach_prev_month_end, attach_to_spine, restrict_to_spine
 from tallyframe.sources.readers import map_columns, scan_statements_window
-from tallyframe.sources.sinks import stage_panel, write_features
+from tallyframe.sources.sinks import OPEN_BUCKETS, _unsorted_buckets, stage_panel, write_features
 
 
 def test_parse_date_any(spark):
@@ -109,6 +111,37 @@ def test_sinks_round_trip(spark, scratch_dir):
     assert spark.table("tallytest.features").count() == 2
 
 
+def test_staged_buckets_are_not_sorted(spark, own_settings):
+    """A task keeps its few buckets open; one with more of them still puts every row where it belongs."""
+    own_settings("spark.sql.shuffle.partitions", str(3 * OPEN_BUCKETS))
+    own_settings("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    rows = spark.range(500).selectExpr("id AS party_id", "CAST(id AS DOUBLE) AS v")
+    staged = stage_panel(rows.coalesce(1), bucket_by=["party_id"])
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, rows.collect()))
+    by_key = staged.groupBy("party_id").agg(F.sum("v").alias("v"))
+    assert "Exchange" not in by_key._jdf.queryExecution().executedPlan().toString() and by_key.count() == 500
+    spark.sql("CREATE DATABASE IF NOT EXISTS tallytest")
+    spark.sql("CREATE TABLE tallytest.few_buckets (party_id BIGINT, v DOUBLE) USING parquet CLUSTERED BY (party_id) INTO 4 BUCKETS")
+    plan = "EXPLAIN INSERT INTO tallytest.few_buckets SELECT id, CAST(id AS DOUBLE) FROM range(9)"
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert "Sort [" in spark.sql(plan).first()[0]
+    with _unsorted_buckets(spark):
+        assert "Sort [" not in spark.sql(plan).first()[0]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def test_staging_lets_its_shuffle_files_go(spark):
+    local = Path(spark.sparkContext.getConf().get("spark.local.dir"))
+    files = lambda: {p.name for p in local.rglob("shuffle_*.data")}
+    there = files()
+    newest = max((int(n.split("_")[1]) for n in there), default=-1)
+    staged = stage_panel(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    end = time.time() + 20
+    while (left := {n for n in files() if int(n.split("_")[1]) > newest}) and time.time() < end:
+        time.sleep(0.2)
+    assert not left and staged.count() == 7
+
+
 def test_bucketed_features_join_without_shuffle(spark):
     df = spark.createDataFrame([(i % 50, dt.date(2019, 12, 31), float(i)) for i in range(400)],
                                "party_id long, data_date date, v double")
