@@ -81,3 +81,16 @@ def test_figures_are_written_without_dictionaries(spark, scratch_dir):
         ensure_plain_figures(session, ["LQ_01", "LQ_02"])
     assert encodings(one, f"{scratch_dir}/one") == {"name": True, "LQ_01": False, "LQ_02": True}
     assert encodings(every, f"{scratch_dir}/every") == {"name": True, "LQ_01": True, "LQ_02": True}
+
+
+def test_files_take_the_shipped_codec_unless_chosen(spark, scratch_dir):
+    from __spark_entry__ import queries
+
+    key = "spark.sql.parquet.compression.codec"
+    for name, chosen, want in (("own", None, "ZSTD"), ("chosen", "snappy", "SNAPPY")):
+        session = spark.newSession()
+        session.conf.set(key, chosen) if chosen else session.conf.unset(key)
+        queries()["filter_month"](session, SF_SMALL)
+        session.range(10).coalesce(1).write.parquet(f"{scratch_dir}/{name}")
+        (part,) = Path(f"{scratch_dir}/{name}").glob("*.parquet")
+        assert pq.ParquetFile(part).metadata.row_group(0).column(0).compression == want
